@@ -20,15 +20,23 @@ def distribute(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def write_layer(df: DataFrame, path: str, *by: str) -> None:
-    """Full refresh of a folder: what was there before is replaced. Do not read ``path`` in ``df``."""
+    """Full refresh of a folder: what was there before is replaced. Do not read ``path`` in ``df``.
+
+    Without ``by`` the rows are written where they are; naming columns costs a
+    shuffle of the whole table.
+    """
     rows = distribute(df, *by) if by else df
     rows.write.mode("overwrite").parquet(path)
 
 
 def write_months(df: DataFrame, spec: TableSpec, path: str) -> None:
-    """Full refresh of a month-partitioned folder (event tables), or of a plain one (clients)."""
+    """Full refresh of a month-partitioned folder (event tables), or of a plain one (clients).
+
+    Rows are brought together by month first; otherwise every task would write a
+    small file into every month. Months above the advisory size are split.
+    """
     if not spec.has_event_time:
-        write_layer(df, path, "client_id")
+        write_layer(df, path)
         return
     rows = distribute(with_month(df, spec), MONTH)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(path)

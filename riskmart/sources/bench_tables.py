@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.operators.cleaning import Horizon
-from riskmart.specs import SPECS, TableSpec
+from riskmart.specs import SPECS
 
 WIDE = {name: spec.wide() for name, spec in SPECS.items()}
 
@@ -22,16 +22,22 @@ WEB_HORIZON = Horizon(dt.date(2024, 1, 1), dt.date(2024, 2, 1))
 WEB_AS_OF = dt.date(2024, 1, 25)
 BIRTHDAY_AS_OF = dt.date(2025, 6, 15)
 
+# Horizon and as-of date per table; clients use the as-of date only.
 BOUNDS = {
     "activity": (WEB_HORIZON, WEB_AS_OF),
+    "clients": (WEB_HORIZON, BIRTHDAY_AS_OF),
     "logins": (WEB_HORIZON, WEB_AS_OF),
     "payments": (TRADE_HORIZON, TRADE_AS_OF),
     "transactions": (TRADE_HORIZON, TRADE_AS_OF),
 }
 
-
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+SOURCE_TABLE = {
+    "activity": "events",
+    "clients": "customer",
+    "logins": "events",
+    "payments": "lineitem",
+    "transactions": "orders",
+}
 
 
 def _currency(key: str) -> Column:
@@ -42,10 +48,10 @@ def _money(name: str) -> Column:
     return F.col(name).cast("decimal(15,2)")
 
 
-def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _clients(customer: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     text = key.cast("string")
-    return _read(spark, sf_dir, "customer").select(
+    return customer.select(
         key.alias("client_id"),
         F.col("c_name").alias("client_first_name"),
         F.col("c_mktsegment").alias("client_last_name"),
@@ -56,8 +62,8 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "orders").select(
+def _transactions(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.col("o_custkey").alias("client_id"),
         F.col("o_orderkey").alias("transaction_id"),
         F.col("o_orderdate").alias("transaction_date"),
@@ -68,8 +74,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "lineitem").select(
+def _payments(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
         F.col("l_suppkey").alias("client_id"),
         F.col("l_orderkey").alias("payment_id"),
         F.col("l_shipdate").alias("payment_date"),
@@ -79,8 +85,8 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "events").where(F.col("event_type") == "view").select(
+def _logins(events: DataFrame) -> DataFrame:
+    return events.where(F.col("event_type") == "view").select(
         F.col("user_id").alias("client_id"),
         F.col("ts").alias("login_date"),
         F.col("event_id").cast("string").alias("ip_address"),
@@ -89,8 +95,8 @@ def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "events").select(
+def _activity(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("user_id").alias("client_id"),
         F.col("ts").alias("activity_date"),
         F.col("event_type").alias("activity_type"),
@@ -100,14 +106,31 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TABLES = {
-    "activity": activity,
-    "clients": clients,
-    "logins": logins,
-    "payments": payments,
-    "transactions": transactions,
+MAPPING = {
+    "activity": _activity,
+    "clients": _clients,
+    "logins": _logins,
+    "payments": _payments,
+    "transactions": _transactions,
 }
 
 
-def table(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
-    return TABLES[spec.name](spark, sf_dir)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return MAPPING[name](spark.read.parquet(f"{sf_dir}/{SOURCE_TABLE[name]}.parquet"))
+
+
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same rows as a file stream."""
+    source = f"{SOURCE_TABLE[name]}.parquet"
+    schema = spark.read.parquet(f"{sf_dir}/{source}").schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", source).parquet(sf_dir)
+    return MAPPING[name](files)
+
+
+def row_id(name: str) -> Column:
+    """An integer that identifies a row of the table, for seeded draws."""
+    if name in ("activity", "logins"):
+        return F.col("ip_address").cast("bigint")
+    if name == "payments":
+        return F.col("payment_id") * 1_000_003 + F.col("client_id")
+    return F.col("client_id" if name == "clients" else "transaction_id")

@@ -87,8 +87,8 @@ class FileLog:
         messages.write.format(self.format).mode("append").save(self.path(table))
 
 
-def to_messages(df: DataFrame, key: str = KEY, as_floats: Iterable[str] = ()) -> DataFrame:
-    """One JSON message per row, keyed by client: every field is text or an explicit null.
+def as_text(df: DataFrame, as_floats: Iterable[str] = ()) -> DataFrame:
+    """Every column as text, NULLs kept.
 
     ``as_floats`` names whole-number columns to print with ``.0``, the way ids
     look once a producer has held them in a nullable float column.
@@ -100,7 +100,12 @@ def to_messages(df: DataFrame, key: str = KEY, as_floats: Iterable[str] = ()) ->
         if column.name in floats:
             text = F.concat(text, F.lit(".0"))
         fields.append(text.alias(column.name))
-    flat = df.select(*fields)
+    return df.select(*fields)
+
+
+def to_messages(df: DataFrame, key: str = KEY, as_floats: Iterable[str] = ()) -> DataFrame:
+    """One JSON message per row, keyed by client: every field is text or an explicit null."""
+    flat = as_text(df, as_floats)
     value = F.to_json(F.struct(*flat.columns), {"ignoreNullFields": "false"})
     return flat.select(F.col(key).alias("key"), value.alias("value"))
 

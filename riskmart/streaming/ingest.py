@@ -36,7 +36,8 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start draining a message stream. ``availableNow`` stops at the offsets known at the
     start, yet respects the per-trigger limits of the source, which bound a batch."""
-    rows = ingest_rows(messages, spec)
+    received = messages.observe("received", F.count(F.lit(1)).alias("rows"))
+    rows = ingest_rows(received, spec)
     if rows.schema.names != spec.columns:
         raise ValueError(f"{spec.name}: parsed columns {rows.schema.names} differ from {spec.columns}")
     return (
@@ -59,9 +60,11 @@ def finish(query: StreamingQuery, spec: TableSpec) -> IngestReport:
     (``spark.sql.streaming.numRecentProgressUpdates``).
     """
     query.awaitTermination()
-    progress = query.recentProgress
-    landed = [p.observedMetrics["landed"]["rows"] for p in progress if "landed" in p.observedMetrics]
-    return IngestReport(spec.name, sum(p.numInputRows for p in progress), sum(landed))
+    metrics = [p.observedMetrics for p in query.recentProgress]
+    counted = {
+        name: sum(m[name]["rows"] for m in metrics if name in m) for name in ("received", "landed")
+    }
+    return IngestReport(spec.name, counted["received"], counted["landed"])
 
 
 def checkpoint_path(root: str, spec: TableSpec) -> str:
