@@ -42,7 +42,10 @@ def inject_nulls(
     columns = list(columns or df.columns)
     hit = {name: selected(row_id, seed + i, rate) for i, name in enumerate(columns)}
     return df.select(
-        *(F.when(~hit[n], F.col(n)).alias(n) if n in hit else F.col(n) for n in df.columns)
+        *(
+            F.when(hit[n], F.lit(None)).otherwise(F.col(n)).alias(n) if n in hit else F.col(n)
+            for n in df.columns
+        )
     )
 
 

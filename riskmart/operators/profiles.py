@@ -9,11 +9,15 @@ gathers the rows of one client in one task:
   clients can hold 1/``hot_limit`` of the rows each, so their totals are small
   enough to broadcast whatever the table size, and their rows are never shuffled;
 * rows of the other clients, of which no client has more than that share, are
-  shuffled once to meet the totals.
+  shuffled once to meet the totals. Before that shuffle a row must pass the
+  lowest threshold of its bucket of clients: a fixed number of buckets, hence a
+  broadcast of fixed size, which drops most rows that cannot be suspicious.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +26,7 @@ from riskmart.functions.risk import AMOUNT_FACTOR, exceeds_mean, mean
 HOT_LIMIT = 10_000
 HOT_MIN_ROWS = 100_000
 ROWS_PER_SALT = 1_000_000
+BUCKETS = 262_144
 CLIENT = "client_id"
 
 
@@ -56,6 +61,24 @@ def _count_suspicious(rows: DataFrame, totals: DataFrame, on: list[str], factor:
     )
 
 
+def _bucket() -> Column:
+    """Never NULL, and stated so: a null check inferred from the join would give the totals
+    below it a plan of their own instead of the shared one."""
+    return F.coalesce(F.pmod(F.xxhash64(CLIENT), F.lit(BUCKETS)), F.lit(0)).alias("bucket")
+
+
+def _candidates(rows: DataFrame, flagged: DataFrame, factor: float) -> DataFrame:
+    """Rows above the lowest threshold of their bucket; no suspicious row is lost.
+
+    Rounding moves a threshold by no more than half a cent, so a whole cent is
+    taken off. Buckets without a flagged client lose all their rows.
+    """
+    lowest = F.round(F.col("amount_sum") * F.lit(Decimal(str(factor))) / F.col("amount_count"), 2)
+    floors = flagged.groupBy(_bucket()).agg(F.min(lowest - F.lit(Decimal("0.01"))).alias("floor"))
+    passing = rows.withColumn("bucket", _bucket()).join(F.broadcast(floors), "bucket")
+    return passing.where(F.col("amount") > F.col("floor")).select(CLIENT, "amount")
+
+
 def _suspicious_by_split(
     tx: DataFrame, totals: DataFrame, factor: float, hot_limit: int, hot_min_rows: int
 ) -> DataFrame:
@@ -65,8 +88,9 @@ def _suspicious_by_split(
     keep = [CLIENT, "amount_count", "amount_sum"]
     hot_keys = totals.where(hot).select(CLIENT)
     from_hot = _count_suspicious(rows, F.broadcast(flagged.where(hot).select(*keep)), [CLIENT], factor)
-    cold_rows = rows.join(F.broadcast(hot_keys), CLIENT, "left_anti")
-    from_cold = _count_suspicious(cold_rows, flagged.where(~hot).select(*keep), [CLIENT], factor)
+    cold = flagged.where(~hot)
+    cold_rows = _candidates(rows, cold, factor).join(F.broadcast(hot_keys), CLIENT, "left_anti")
+    from_cold = _count_suspicious(cold_rows, cold.select(*keep), [CLIENT], factor)
     return from_hot.unionByName(from_cold)
 
 

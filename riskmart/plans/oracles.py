@@ -117,7 +117,7 @@ def cleaned(source: str, spec: TableSpec) -> str:
 
 def with_nulls(source: str, spec: TableSpec, row_id: str) -> str:
     columns = ", ".join(
-        f"CASE WHEN NOT {hit(row_id, i, spec.rates.nulls)} THEN {n} END AS {n}"
+        f"CASE WHEN {hit(row_id, i, spec.rates.nulls)} THEN NULL ELSE {n} END AS {n}"
         for i, n in enumerate(spec.columns)
     )
     return f"SELECT {columns}, {row_id} AS row_id FROM ({source})"

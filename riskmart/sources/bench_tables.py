@@ -120,11 +120,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same rows as a file stream."""
-    source = f"{SOURCE_TABLE[name]}.parquet"
-    schema = spark.read.parquet(f"{sf_dir}/{source}").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", source).parquet(sf_dir)
-    return MAPPING[name](files)
+    """The same rows as a file stream. The pattern accepts a single file as well as a folder."""
+    base = f"{sf_dir}/{SOURCE_TABLE[name]}"
+    schema = spark.read.parquet(f"{base}.parquet").schema
+    return MAPPING[name](spark.readStream.schema(schema).parquet(f"{base}.parque[t]"))
 
 
 def row_id(name: str) -> Column:

@@ -20,11 +20,15 @@ MESSAGE_SCHEMA = "key string, value string"
 
 @dataclass(frozen=True)
 class KafkaLog:
-    """Topics ``<prefix><table>``. Needs the Kafka connector package on the session."""
+    """Topics ``<prefix><table>``. Needs the Kafka connector package on the session.
+
+    Messages are keyed by client, so a busy client fills one topic partition;
+    ``min_partitions`` splits such a partition over several tasks.
+    """
 
     servers: str
     prefix: str = "raw_"
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = 500_000_000
     min_partitions: int | None = None
     extra: dict[str, str] = field(default_factory=dict)
 
@@ -69,7 +73,7 @@ class FileLog:
 
     root: str
     format: str = "parquet"
-    max_files_per_trigger: int | None = None
+    max_files_per_trigger: int | None = 10_000
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
