@@ -81,16 +81,17 @@ def inject_duplicates(
     for tiny tables only and costs a second scan of the id. ``copy_column``
     keeps the number of the copy, 0 for the original row.
     """
-    value = draw(row_id, seed)
+    drawn, number = F.col("_draw"), copy_column or "_copy"
+    rows = df.withColumn("_draw", draw(row_id, seed))
     copies = F.lit(0)
     for limit in copy_thresholds(rate):
-        copies = copies + F.when(value < F.lit(limit), F.lit(1)).otherwise(F.lit(0))
+        copies = copies + F.when(drawn < F.lit(limit), F.lit(1)).otherwise(F.lit(0))
     if at_least_one:
-        smallest = df.agg(F.min(value)).scalar()
-        copies = F.greatest(copies, F.when(value == smallest, F.lit(1)).otherwise(F.lit(0)))
-    copies = F.coalesce(copies, F.lit(0))
-    number = copy_column or "_copy"
-    out = df.withColumn(number, F.explode(F.sequence(F.lit(0), copies)))
+        smallest = rows.agg(F.min(drawn)).scalar()
+        copies = F.greatest(copies, F.when(drawn == smallest, F.lit(1)).otherwise(F.lit(0)))
+    # The count is a column of its own: inside the generator nothing is shared between expressions.
+    counted = rows.withColumn(number, F.coalesce(copies, F.lit(0))).drop("_draw")
+    out = counted.withColumn(number, F.explode(F.sequence(F.lit(0), F.col(number))))
     return out if copy_column else out.drop(number)
 
 

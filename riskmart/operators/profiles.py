@@ -26,6 +26,7 @@ from riskmart.functions.risk import AMOUNT_FACTOR, exceeds_mean, mean
 HOT_LIMIT = 10_000
 HOT_MIN_ROWS = 100_000
 ROWS_PER_SALT = 1_000_000
+SALT_ON = ("transaction_id", "amount")
 BUCKETS = 262_144
 CLIENT = "client_id"
 
@@ -99,14 +100,14 @@ def _suspicious_by_salt(
 ) -> DataFrame:
     """One join for all clients; rows of hot clients are spread over several salts.
 
-    The salt comes from the row's content, so a retried task repeats it. Identical
-    rows share a salt; since the result is not needed in join order, adaptive
-    execution may still split such a partition.
+    The salt comes from the row's content, so a retried task repeats it; only id and
+    amount are used, to keep the scan narrow. Identical rows share a salt. The result
+    is not needed in join order, so adaptive execution may still split their partition.
     """
     hot = _is_hot(F.col("total_transactions"), tx, hot_limit, hot_min_rows)
     salts = F.when(hot, F.ceil(F.col("total_transactions") / F.lit(rows_per_salt))).otherwise(F.lit(1))
     spread = totals.where(hot).select(CLIENT, salts.alias("salts"))
-    content = F.xxhash64(*(F.col(c) for c in tx.columns if c != CLIENT))
+    content = F.xxhash64(*(F.col(c) for c in tx.columns if c in SALT_ON))
     rows = tx.join(F.broadcast(spread), CLIENT, "left").select(
         CLIENT, "amount", F.pmod(content, F.coalesce(F.col("salts"), F.lit(1))).alias("salt")
     )

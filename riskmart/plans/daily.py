@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from riskmart.operators.cleaning import DEFAULT_HORIZON, Horizon, clean
 from riskmart.operators.mart import fraud_dashboard
 from riskmart.operators.staging import stage
+from riskmart.session import side_by_side
 from riskmart.sinks.serving import SERVING_SCHEMA, JdbcTarget, ParquetTarget, publish, wide_schema
 from riskmart.sinks.tables import read_clean, read_typed, write_layer, write_months
 from riskmart.sources.messages import FileLog, KafkaLog
@@ -48,16 +49,21 @@ class DailyConfig:
 
 def load_staging(spark: SparkSession, config: DailyConfig) -> None:
     """Typing keeps the partitions of the scan: event tables are written without a shuffle."""
-    for name, spec in config.specs().items():
+
+    def load(spec: TableSpec) -> None:
         raw = raw_scan(spark, spec, raw_path(config.layer("raw"), spec))
-        write_layer(stage(raw, spec, config.on_bad), f"{config.layer('ods')}/{name}")
+        write_layer(stage(raw, spec, config.on_bad), f"{config.layer('ods')}/{spec.name}")
+
+    side_by_side(spark, load, config.specs().values())
 
 
 def load_clean(spark: SparkSession, config: DailyConfig) -> None:
-    for name, spec in config.specs().items():
-        staged = read_typed(spark, spec, f"{config.layer('ods')}/{name}")
-        horizon, as_of = config.bounds.get(name, (config.horizon, config.as_of))
-        write_months(clean(staged, spec, as_of, horizon), spec, f"{config.layer('dds')}/{name}")
+    def load(spec: TableSpec) -> None:
+        staged = read_typed(spark, spec, f"{config.layer('ods')}/{spec.name}")
+        horizon, as_of = config.bounds.get(spec.name, (config.horizon, config.as_of))
+        write_months(clean(staged, spec, as_of, horizon), spec, f"{config.layer('dds')}/{spec.name}")
+
+    side_by_side(spark, load, config.specs().values())
 
 
 def load_mart(spark: SparkSession, config: DailyConfig) -> None:

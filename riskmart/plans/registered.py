@@ -23,7 +23,7 @@ from riskmart.operators.parsing import drop_incomplete, ingest_rows, parse_json
 from riskmart.operators.profiles import login_profile, suspicious_count, tx_profile
 from riskmart.operators.staging import stage
 from riskmart.plans.daily import DailyConfig, run_daily
-from riskmart.session import work_dir
+from riskmart.session import side_by_side, work_dir
 from riskmart.sinks.serving import ParquetTarget, publish, wide_schema
 from riskmart.sinks.tables import ensure_table, read_clean, refresh_table, write_layer, write_months
 from riskmart.sources.bench_tables import BOUNDS, WIDE, row_id, stream, table
@@ -290,9 +290,12 @@ def q_daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty messages of all five tables through every layer; the published mart."""
     root = work_dir(spark, "daily_run")
     log, target = FileLog(f"{root}/log"), ParquetTarget(f"{root}/serving")
-    for name, spec in WIDE.items():
+
+    def produce(name: str) -> int:
         dirty = _dirty(spark, sf_dir, name)
-        send(to_messages(dirty, as_floats=spec.of_kind("id")), log, name)
+        return send(to_messages(dirty, as_floats=WIDE[name].of_kind("id")), log, name)
+
+    side_by_side(spark, produce, WIDE)
     run_daily(spark, DailyConfig(log, root, target, bounds=BOUNDS, wide_ids=True))
     return comparable(spark.read.parquet(target.path))
 
