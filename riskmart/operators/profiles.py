@@ -48,6 +48,13 @@ def _flagged(totals: DataFrame, factor: float) -> DataFrame:
     )
 
 
+def _with_amounts(totals: DataFrame) -> DataFrame:
+    """Clients with any amount at all. Naming every total keeps the aggregate below whole, so
+    that its shuffle is the one shared by all branches instead of a second, narrower one."""
+    known = F.col("amount_sum").isNotNull() & F.col("max_transaction_amount").isNotNull()
+    return totals.where((F.col("amount_count") > 0) & known)
+
+
 def _is_hot(rows: Column, tx: DataFrame, hot_limit: int, hot_min_rows: int) -> Column:
     all_rows = tx.agg(F.count(F.lit(1))).scalar()
     return (rows >= F.lit(hot_min_rows)) & (rows * F.lit(hot_limit) >= all_rows)
@@ -87,7 +94,7 @@ def _suspicious_by_split(
     hot = _is_hot(F.col("total_transactions"), tx, hot_limit, hot_min_rows)
     flagged = _flagged(totals, factor)
     keep = [CLIENT, "amount_count", "amount_sum"]
-    hot_keys = totals.where(hot).select(CLIENT)
+    hot_keys = _with_amounts(totals).where(hot).select(CLIENT)
     from_hot = _count_suspicious(rows, F.broadcast(flagged.where(hot).select(*keep)), [CLIENT], factor)
     cold = flagged.where(~hot)
     cold_rows = _candidates(rows, cold, factor).join(F.broadcast(hot_keys), CLIENT, "left_anti")
@@ -106,7 +113,7 @@ def _suspicious_by_salt(
     """
     hot = _is_hot(F.col("total_transactions"), tx, hot_limit, hot_min_rows)
     salts = F.when(hot, F.ceil(F.col("total_transactions") / F.lit(rows_per_salt))).otherwise(F.lit(1))
-    spread = totals.where(hot).select(CLIENT, salts.alias("salts"))
+    spread = _with_amounts(totals).where(hot).select(CLIENT, salts.alias("salts"))
     content = F.xxhash64(*(F.col(c) for c in tx.columns if c in SALT_ON))
     rows = tx.join(F.broadcast(spread), CLIENT, "left").select(
         CLIENT, "amount", F.pmod(content, F.coalesce(F.col("salts"), F.lit(1))).alias("salt")
