@@ -13,10 +13,10 @@ from riskmart.operators.mart import fraud_dashboard
 from riskmart.operators.staging import stage
 from riskmart.session import side_by_side
 from riskmart.sinks.serving import SERVING_SCHEMA, JdbcTarget, ParquetTarget, publish, wide_schema
-from riskmart.sinks.tables import read_clean, read_typed, write_layer, write_months
+from riskmart.sinks.tables import read_clean, read_typed, register_folder, write_layer, write_months
 from riskmart.sources.messages import FileLog, KafkaLog
-from riskmart.sources.raw import raw_path, raw_scan
-from riskmart.specs import SPECS, TableSpec
+from riskmart.sources.raw import raw_path, raw_scan, replace_raw_view
+from riskmart.specs import MONTH, SPECS, TableSpec
 from riskmart.streaming.ingest import IngestReport, ingest_all
 
 Bounds = tuple[Horizon, dt.date | None]
@@ -81,6 +81,22 @@ def publish_mart(spark: SparkSession, config: DailyConfig) -> bool:
     return publish(mart, config.target, config.publish_mode, config.null_policy, schema)
 
 
+def register_layers(spark: SparkSession, config: DailyConfig, prefix: str = "", statistics: bool = True) -> None:
+    """Catalog names for all layers, for SQL users: ``<prefix>ods_*``, ``dds_*``, ``dm_fraud_dashboard``.
+
+    Raw folders become session views, see :func:`replace_raw_view`.
+    """
+    for name, spec in config.specs().items():
+        replace_raw_view(spark, spec, raw_path(config.layer("raw"), spec), f"{prefix}raw_{name}")
+        ods, dds = f"{config.layer('ods')}/{name}", f"{config.layer('dds')}/{name}"
+        month = MONTH if spec.has_event_time else None
+        register_folder(spark, f"{prefix}ods_{name}", spec.typed_schema, ods, statistics=statistics)
+        register_folder(spark, f"{prefix}dds_{name}", spec.clean_schema, dds, month, statistics)
+    mart = f"{config.layer('dm')}/fraud_dashboard"
+    schema = spark.read.parquet(mart).schema
+    register_folder(spark, f"{prefix}dm_fraud_dashboard", schema, mart, statistics=statistics)
+
+
 def run_daily(spark: SparkSession, config: DailyConfig) -> dict[str, IngestReport]:
     """Ingest new messages, then refresh staging, clean layer and mart, then publish."""
     reports = ingest_all(spark, config.log, config.specs().values(), config.layer("raw"))

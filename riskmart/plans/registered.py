@@ -91,7 +91,7 @@ def q_drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingest(spark: SparkSession, sf_dir: str, names: list[str], lake: str) -> dict[str, IngestReport]:
     return ingest_streams(
-        ((WIDE[n], _holey_messages(stream(spark, sf_dir, n), n)) for n in names), lake
+        spark, ((WIDE[n], _holey_messages(stream(spark, sf_dir, n), n)) for n in names), lake
     )
 
 

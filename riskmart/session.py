@@ -20,7 +20,6 @@ BASE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 # Shuffles start with many partitions and are coalesced at run time; rebalanced

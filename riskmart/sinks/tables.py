@@ -67,6 +67,23 @@ def ensure_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING parquet{parts} LOCATION '{location}'")
 
 
+def register_folder(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    location: str,
+    partition_by: str | None = None,
+    statistics: bool = True,
+) -> None:
+    """Give a written layer folder a catalog name, take in new partitions, and collect statistics."""
+    ensure_table(spark, name, schema, location, partition_by)
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.sql(f"REFRESH TABLE {name}")
+    if statistics:
+        analyze_table(spark, name)
+
+
 def refresh_table(spark: SparkSession, name: str, df: DataFrame) -> None:
     """Replace the content of a catalog table, all partitions included."""
     columns = spark.table(name).columns

@@ -123,7 +123,8 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same rows as a file stream. The pattern accepts a single file as well as a folder."""
     base = f"{sf_dir}/{SOURCE_TABLE[name]}"
     schema = spark.read.parquet(f"{base}.parquet").schema
-    return MAPPING[name](spark.readStream.schema(schema).parquet(f"{base}.parque[t]"))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000)
+    return MAPPING[name](reader.parquet(f"{base}.parque[t]"))
 
 
 def row_id(name: str) -> Column:

@@ -7,7 +7,8 @@ run takes new messages only and a run without new messages changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,9 @@ from riskmart.sources.messages import FileLog, KafkaLog
 from riskmart.sources.raw import raw_path
 from riskmart.specs import TableSpec
 
+RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
+KEPT_BATCHES = 100_000
+
 
 @dataclass(frozen=True)
 class IngestReport:
@@ -54,11 +58,7 @@ def start_ingest(
 
 
 def finish(query: StreamingQuery, spec: TableSpec) -> IngestReport:
-    """Wait for the query and add up its batches.
-
-    The sums cover the batches the session remembers
-    (``spark.sql.streaming.numRecentProgressUpdates``).
-    """
+    """Wait for the query and add up its batches, as far as it remembers them."""
     query.awaitTermination()
     metrics = [p.observedMetrics for p in query.recentProgress]
     counted = {
@@ -71,15 +71,27 @@ def checkpoint_path(root: str, spec: TableSpec) -> str:
     return f"{root}/_checkpoints/{spec.name}"
 
 
+@contextmanager
+def _remembering_batches(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep the progress of (practically) all their batches."""
+    before = spark.conf.get(RETENTION)
+    spark.conf.set(RETENTION, str(max(int(before), KEPT_BATCHES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(RETENTION, before)
+
+
 def ingest_streams(
-    streams: Iterable[tuple[TableSpec, DataFrame]], lake: str
+    spark: SparkSession, streams: Iterable[tuple[TableSpec, DataFrame]], lake: str
 ) -> dict[str, IngestReport]:
     """Drain several message streams at once in one session; stop all when one fails."""
     running: list[tuple[TableSpec, StreamingQuery]] = []
     try:
-        for spec, messages in streams:
-            query = start_ingest(messages, spec, raw_path(lake, spec), checkpoint_path(lake, spec))
-            running.append((spec, query))
+        with _remembering_batches(spark):
+            for spec, messages in streams:
+                query = start_ingest(messages, spec, raw_path(lake, spec), checkpoint_path(lake, spec))
+                running.append((spec, query))
         return {spec.name: finish(query, spec) for spec, query in running}
     finally:
         for _, query in running:
@@ -91,4 +103,4 @@ def ingest_all(
     spark: SparkSession, log: KafkaLog | FileLog, specs: Iterable[TableSpec], lake: str
 ) -> dict[str, IngestReport]:
     """Drain one topic per table of a log."""
-    return ingest_streams(((spec, log.stream(spark, spec.name)) for spec in specs), lake)
+    return ingest_streams(spark, ((spec, log.stream(spark, spec.name)) for spec in specs), lake)

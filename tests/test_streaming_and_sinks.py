@@ -178,3 +178,64 @@ def test_second_daily_run_adds_to_the_lake(spark, tmp_path, sf_dir):
         totals = mart.selectExpr("count(*) AS n", "sum(total_transactions) AS tx").first()
         clients = clients or totals
         assert totals["n"] == clients["n"] and totals["tx"] == run * clients["tx"]
+
+
+def test_layers_have_sql_names(spark, tmp_path):
+    """The daily steps from the command line; then every layer by name, twice, with a month dropped between."""
+    from riskmart.__main__ import main, parse
+    from riskmart.plans.daily import register_layers
+
+    log = FileLog(str(tmp_path / "log"))
+    moment = [dt.datetime(2025, m, 3, 4, 5, 6, 7) for m in (1, 2)]
+    rows = {
+        "activity": [(1, t, "login", "/", "ip", "d") for t in moment],
+        "clients": [(1, "A", "B", "e", "p", "a", dt.date(1990, 1, 1))],
+        "logins": [(1, t, "ip", "1, 2", "d") for t in moment * 6],
+        "payments": [(1, 5, t, "USD", Decimal("1.50"), "card") for t in moment],
+        "transactions": [(1, 6, t, "deposit", "acc", "USD", Decimal("2.50")) for t in moment],
+    }
+    for name, values in rows.items():
+        send(to_messages(spark.createDataFrame(values, SPECS[name].typed_schema)), log, name)
+    root = str(tmp_path / "root")
+    args = ["--root", root, "--files", log.root, "--as-of", "2025-06-15"]
+    for step in ("ingest", "stage", "clean", "mart", "publish"):
+        main([step, *args], spark)
+    config = DailyConfig(log, root, serving.ParquetTarget(f"{root}/serving"))
+    register_layers(spark, config, "t_")
+    assert tuple(spark.table("t_dm_fraud_dashboard").first())[:4] == (1, "A", "B", 2)
+    assert spark.read.parquet(config.target.path).first()["risk_score"] == 2
+    count = "SELECT count(*) AS n FROM t_dds_logins"
+    assert spark.sql(count).first()["n"] == 12 == spark.table("t_ods_logins").count()
+    main(["clean", *args, "--from", "2025-02-01"], spark)
+    register_layers(spark, config, "t_", statistics=False)
+    assert spark.sql(count).first()["n"] == 6
+    assert [r[0] for r in spark.sql("SHOW PARTITIONS t_dds_logins").collect()] == ["ym=2025-02"]
+    assert parse(["daily", *args]).publish_mode == "overwrite"
+    for name in SPECS:
+        spark.sql(f"DROP TABLE t_ods_{name}")
+        spark.sql(f"DROP TABLE t_dds_{name}")
+    spark.sql("DROP TABLE t_dm_fraud_dashboard")
+
+
+def test_jobs_side_by_side(spark):
+    from riskmart.session import side_by_side
+
+    assert side_by_side(spark, lambda n: spark.range(n).count(), [3, 1, 2]) == [3, 1, 2]
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, lambda n: 1 // n, [1, 0])
+
+
+def test_cluster_settings_only_off_local(monkeypatch):
+    import riskmart.session as session
+
+    seen = {}
+
+    class Builder:
+        def __getattr__(self, name):
+            return lambda *args: seen.update([args]) or self if name == "config" else self
+
+    monkeypatch.setattr(session, "SparkSession", type("S", (), {"builder": Builder()}))
+    session.build_session(master="local[2]", spark__x="1")
+    assert seen["spark.x"] == "1" and "spark.sql.adaptive.advisoryPartitionSizeInBytes" not in seen
+    session.build_session()
+    assert seen["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "8192"
