@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The text formats of timestamps and dates.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"
 DATE_FORMAT = "yyyy-MM-dd"

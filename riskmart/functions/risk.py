@@ -7,6 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Multiple of the mean, logins a client may have, and the two scores.
 AMOUNT_FACTOR = 3
 LOGIN_LIMIT = 10
 FINANCIAL_SCORE = 3

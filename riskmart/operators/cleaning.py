@@ -22,6 +22,7 @@ class Horizon:
     end: dt.date
 
 
+# The default horizon, and the first and last accepted birthday.
 DEFAULT_HORIZON = Horizon(dt.date(2023, 1, 1), dt.date(2026, 1, 1))
 FIRST_BIRTHDAY = dt.date(1920, 1, 1)
 LAST_BIRTHDAY = dt.date(2010, 1, 1)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -48,6 +49,11 @@ def build_session(app: str = "riskmart", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="riskmart-")
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder of the cluster.
 
@@ -59,8 +65,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="riskmart-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/riskmart/{label}-{uuid.uuid4().hex}"
 
 

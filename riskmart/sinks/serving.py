@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 DECIMAL = T.DecimalType(15, 2)
 
+# Columns and types of the serving table.
 SERVING_SCHEMA = T.StructType(
     [
         T.StructField("client_id", T.IntegerType(), False),

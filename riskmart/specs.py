@@ -74,6 +74,8 @@ class TableSpec:
         return replace(self, id_type=T.LongType())
 
 
+# Fixed values from here on: names, column order and kinds of the tables, and their defect rates.
+
 ACTIVITY = TableSpec(
     name="activity",
     fields=(

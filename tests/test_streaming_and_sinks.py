@@ -164,6 +164,18 @@ def test_work_dir_follows_the_session(spark):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_work_dir_without_the_setting():
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = {}
+
+    first, second = (work_dir(Session("local[2]"), "x") for _ in range(2))
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(ValueError, match="share"):
+        work_dir(Session("yarn"), "x")
+
+
 def test_second_daily_run_adds_to_the_lake(spark, tmp_path, sf_dir):
     """The lake accumulates; staging, clean layer and mart are refreshed; publish replaces."""
     log, target = FileLog(str(tmp_path / "log")), serving.ParquetTarget(str(tmp_path / "serving"))
