@@ -76,7 +76,8 @@ def q_parse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "activity").withColumn("record_saved_at", F.col("activity_date"))
     messages = to_messages(rows)
     event_id = F.get_json_object("value", "$.ip_address").cast("bigint")
-    cut = F.when(selected(event_id, BROKEN_SEED, BROKEN_RATE), F.left("value", F.lit(BROKEN_LENGTH))).otherwise(F.col("value"))
+    broken = selected(event_id, BROKEN_SEED, BROKEN_RATE)
+    cut = F.when(broken, F.left("value", F.lit(BROKEN_LENGTH))).otherwise(F.col("value"))
     return parse_json(messages.withColumn("value", cut), WIDE["activity"].raw_schema)
 
 

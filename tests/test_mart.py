@@ -144,6 +144,20 @@ def test_totals_are_shuffled_once_and_hot_route_vanishes(spark, sf_dir):
     assert plan.count("o_custkey#") > 0 and "Union" not in plan and "LeftAnti" not in plan
 
 
+def test_hot_clients_meet_their_totals_by_broadcast(spark, sf_dir):
+    """With every client hot, no row is shuffled by client before it is counted."""
+    from riskmart.sources.bench_tables import table
+
+    profile = tx_profile(table(spark, sf_dir, "transactions"), hot_min_rows=1, hot_limit=10**9)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert profile.agg(F.sum("suspicious_transaction_count")).first()[0] > 0
+        plan = profile._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti, BuildRight" in plan and "Inner, BuildRight" in plan
+
+
 def test_unknown_method(spark):
     with pytest.raises(ValueError, match="method"):
         tx_profile(transactions(spark, []), method="window")
