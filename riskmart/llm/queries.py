@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontamination, fingerprints, mixing, quality, sharding, toxicity
+from riskmart.llm import decontamination, fingerprints, jaccard, mixing, quality, sharding, toxicity
 from riskmart.llm.words import crc_of_id, plain
 
 
@@ -54,6 +54,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's number of 5-word shingles and its component of links of similarity 0.75 or more."""
+    return jaccard.link_components(documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that a mix of all sources takes from each document."""
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "times")
@@ -83,5 +88,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op4_quality, op7_mixing, op8_toxicity, op9_sharding, op10_decontamination)
+    f.__name__: f for f in (op1_fingerprints, op4_quality, op6_jaccard_join, op7_mixing, op8_toxicity, op9_sharding, op10_decontamination)
 }

@@ -1,6 +1,6 @@
 """Toxicity by multiple-instance learning: labels are of documents, scores are of sentences.
 
-A sentence is a bag of hashed words with a logistic score p; a document is toxic unless all its sentences are clean,
+A sentence is a bag of hashed words and word beginnings with a logistic score p; a document is toxic unless all its sentences are clean,
 so its score is the noisy-or 1 - prod(1 - p). Training follows the gradient of the documents' log loss through the
 noisy-or; afterwards the sentence scores say which sentences offend.
 """
@@ -14,19 +14,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from riskmart.llm.labelled import fit, sample
-from riskmart.llm.words import PUNCTUATION, plain, pieces, words
+from riskmart.llm.words import PUNCTUATION, mix, pieces, plain, span_hashes, words
 
 #: Buckets of the hashed words.
 BUCKETS = 1 << 20
 #: Bound of the training sample, in labelled documents.
 MOST_LABELLED = 20_000
-EPOCHS = 60
+EPOCHS = 120
+#: Beginnings of longer words, in bytes, are terms too: inflected forms of an insult share them.
+PREFIXES = (4, 5, 6)
 #: Bytes that end a sentence.
 ENDS = np.isin(np.arange(256), [ord(c) for c in ".!?\n"])
 
 
 def sentences(texts: pa.Array) -> tuple[np.ndarray, ...]:
-    """Word buckets, the pointer of sentences into them, the pointer of texts into sentences, and each sentence's byte span in its text.
+    """Buckets of words and of their beginnings, the pointer of sentences into them, the pointer of texts into sentences, and each sentence's byte span in its text.
 
     A sentence is a maximal run of words without `.`, `!`, `?` or a line break between them; one without words is none.
     """
@@ -42,7 +44,15 @@ def sentences(texts: pa.Array) -> tuple[np.ndarray, ...]:
     base = w.text_ptr[owner[first]] if len(first) else first
     start = w.start[first] - base if len(first) else first
     end = w.end[sentence_ptr[1:] - 1] - base if len(first) else first
-    return (w.hash & np.uint64(BUCKETS - 1)).astype(np.int32), sentence_ptr, text_ptr, start, end
+    size = w.end - w.start
+    terms = [(w.hash, np.arange(len(size)))]
+    for width in PREFIXES:
+        longer = np.flatnonzero(size > width)
+        terms.append((mix(span_hashes(w.data, w.start[longer], w.start[longer] + width) + np.uint64(width)), longer))
+    at = np.concatenate([t[1] for t in terms])
+    order = np.argsort(at, kind="stable")
+    bucket = (np.concatenate([t[0] for t in terms]) & np.uint64(BUCKETS - 1)).astype(np.int32)[order]
+    return bucket, np.searchsorted(at[order], sentence_ptr), text_ptr, start, end
 
 
 def sums(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
@@ -70,41 +80,47 @@ def _features(part: pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]
     return a, b
 
 
-def train(rows: list[tuple], epochs: int = EPOCHS, rate: float = 0.15, decay: float = 1e-7, least: int = 3) -> np.ndarray:
-    """Weights by Adam on the mean log loss of all documents; words of fewer than `least` training documents keep weight 0."""
+def train(rows: list[tuple], epochs: int = EPOCHS, rate: float = 0.1, decay: float = 3e-5, least: int = 5, score: float = 4.0) -> np.ndarray:
+    """Weights by Adam on the mean log loss of all documents.
+
+    Only terms that occur in `least` training documents, and in toxic ones more often than in others by `score` standard
+    errors, are learnt; the rest keep weight 0. Without this, words that happen to occur in a few toxic documents would
+    explain the labels of the training documents and nothing else.
+    """
     weights = np.zeros(BUCKETS + 1)
     weights[-1] = -6.0
     if not rows:
         return weights
     y = np.array([r[1] for r in rows])
+    seen = np.zeros((2, BUCKETS), np.int32)
+    for _, label, bag, _ in rows:
+        seen[int(label > 0.5), np.unique(np.frombuffer(bag, np.int32))] += 1
+    n = np.maximum([(y <= 0.5).sum(), (y > 0.5).sum()], 1)
+    pooled = seen.sum(0) / n.sum()
+    error = np.sqrt(pooled * (1 - pooled) * (1 / n[0] + 1 / n[1]))
+    learnt = (seen.sum(0) >= least) & (seen[1] / n[1] - seen[0] / n[0] > score * error)
     bags = [np.frombuffer(r[2], np.int32) for r in rows]
-    seen = np.zeros(BUCKETS, np.int32)
-    for bag in bags:
-        seen[np.unique(bag)] += 1
     lengths = [np.frombuffer(r[3], np.int32) for r in rows]
     text_ptr = np.concatenate([[0], np.cumsum([len(x) for x in lengths])])
-    sentence_ptr = np.concatenate([[0], np.cumsum(np.concatenate(lengths, dtype=np.int64))])
-    used, ids = np.unique(np.concatenate(bags), return_inverse=True)
-    learnt = seen[used] >= least
-    ids = ids.astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum(np.concatenate(lengths, dtype=np.int64))])
+    kept = [learnt[bag] for bag in bags]
+    sentence_ptr = np.concatenate([[0], np.cumsum(np.concatenate(kept))])[ends]
+    used, ids = np.unique(np.concatenate([bag[k] for bag, k in zip(bags, kept, strict=True)]), return_inverse=True)
     counts = np.diff(sentence_ptr)
     docs = np.repeat(np.arange(len(rows)), np.diff(text_ptr))
-    w, bias = np.zeros(len(used)), -6.0
-    m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    w = np.append(np.zeros(len(used)), weights[-1])
+    m, v = np.zeros(len(w)), np.zeros(len(w))
     for step in range(1, epochs + 1):
-        z = sums(w[ids], sentence_ptr) + bias
+        z = sums(w[ids], sentence_ptr) + w[-1]
         clean = np.exp(-sums(np.logaddexp(0.0, z), text_ptr))
         p = np.clip(1 - clean, 1e-9, 1 - 1e-9)
-        slope = ((p - y) / p)[docs] / (1 + np.exp(-z))
-        grad = np.append(np.bincount(ids, np.repeat(slope, counts), len(used)) + decay * len(rows) * w, slope.sum()) / len(rows)
-        grad[:-1] *= learnt
+        slope = ((p - y) / p)[docs] / (1 + np.exp(-np.clip(z, -35, 35)))
+        grad = np.append(np.bincount(ids, np.repeat(slope, counts), len(used)) / len(rows) + decay * w[:-1], slope.sum() / len(rows))
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
-        move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        w -= move[:-1]
-        bias -= move[-1]
-    weights[used] = w
-    weights[-1] = bias
+        w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    weights[used] = w[:-1]
+    weights[-1] = w[-1]
     return weights
 
 
@@ -124,7 +140,7 @@ def score(docs: DataFrame, weights: np.ndarray, offending: float = 0.5) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", 1 << 19):
                 buckets, sentence_ptr, text_ptr, start, end = sentences(part.column("text"))
                 z = logit(w, buckets, sentence_ptr)
                 n = np.diff(text_ptr)

@@ -135,26 +135,33 @@ def shingles(hashes: np.ndarray, ptr: np.ndarray, width: int) -> tuple[np.ndarra
     return mix(value), out_ptr
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = CHUNK) -> Iterator[pa.RecordBatch]:
-    """The batch cut between rows so that the column's texts stay near `most` bytes; a longer text comes alone."""
+def pieces(batch: pa.RecordBatch, column: str, most: int = CHUNK, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batch cut between rows so that the column's texts stay near `most` bytes and `rows` rows; a longer text comes alone."""
     if not batch.num_rows:
         return
     _, ptr = buffers(batch.column(column))
     i = 0
     while i < batch.num_rows:
-        j = max(i + 1, int(np.searchsorted(ptr, ptr[i] + most, "right")) - 1)
+        j = min(i + rows, max(i + 1, int(np.searchsorted(ptr, ptr[i] + most, "right")) - 1))
         yield batch.slice(i, j - i)
         i = j
 
 
-def distinct_sets(values: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each segment's distinct values in ascending order, and the pointer of the result."""
-    owner = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-    order = np.lexsort((values, owner))
-    v, o = values[order], owner[order]
-    keep = np.ones(len(v), bool)
-    keep[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
-    return v[keep], np.concatenate([[0], np.cumsum(np.bincount(o[keep], minlength=len(ptr) - 1))]).astype(np.int64)
+#: Bits of a shingle in a set; the others hold the number of the text while a piece is sorted.
+SET_BITS = 54
+
+
+def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct shingles (54-bit hashes, ascending) and the pointer of the texts; for pieces of 1,024 texts at most."""
+    w = words(texts)
+    value, ptr = shingles(w.hash, w.ptr, width)
+    owner = np.repeat(np.arange(len(ptr) - 1, dtype=np.uint64), np.diff(ptr))
+    key = np.sort((owner << np.uint64(SET_BITS)) | (value >> np.uint64(64 - SET_BITS)))
+    keep = np.ones(len(key), bool)
+    keep[1:] = key[1:] != key[:-1]
+    key = key[keep]
+    n = np.bincount((key >> np.uint64(SET_BITS)).astype(np.int64), minlength=len(ptr) - 1)
+    return key & np.uint64((1 << SET_BITS) - 1), np.concatenate([[0], np.cumsum(n)])
 
 
 def plain(docs: DataFrame, *columns: str) -> DataFrame:
