@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontamination, fingerprints, jaccard, mixing, quality, sharding, toxicity
+from riskmart.llm import decontamination, fingerprints, jaccard, mixing, quality, sharding, suffixes, toxicity
 from riskmart.llm.words import crc_of_id, plain
 
 
@@ -54,6 +54,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many bytes of each text are covered by 100 bytes that also start earlier, and a digest of the rest."""
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    return suffixes.remove_repeats(documents(spark, sf_dir), keep_text=False).select(*columns)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's number of 5-word shingles and its component of links of similarity 0.75 or more."""
     return jaccard.link_components(documents(spark, sf_dir))
@@ -88,5 +94,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op4_quality, op6_jaccard_join, op7_mixing, op8_toxicity, op9_sharding, op10_decontamination)
+    f.__name__: f for f in (op1_fingerprints, op4_quality, op5_suffix_dedup, op6_jaccard_join, op7_mixing, op8_toxicity, op9_sharding, op10_decontamination)
 }
