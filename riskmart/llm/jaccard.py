@@ -169,8 +169,12 @@ def _texts(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return found.dropDuplicates(["node"])
 
 
-def _pairs_across(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of nodes in different components that share as many prefix elements as they must."""
+def pairs_across(postings: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that share as many tokens as the smaller `matches` asks for.
+
+    postings: token, node, n (size), matches; sizes must agree by `percent`. labels: node, component. Nodes of a component
+    meet in lists of bounded length, and only lists of different components are paired.
+    """
     named = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = stored(named.select("token", "node", "n", "matches", "component"))
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
@@ -181,7 +185,7 @@ def _pairs_across(postings: DataFrame, labels: DataFrame) -> DataFrame:
     )
     a, b = (lists.select("token", F.col("component").alias(f"c_{x}"), F.col("members").alias(f"m_{x}")) for x in "ab")
     met = a.join(b, "token").filter("c_a < c_b")
-    fits = (F.col("x.n") * 100 >= F.col("y.n") * PERCENT) & (F.col("y.n") * 100 >= F.col("x.n") * PERCENT)
+    fits = (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
     pairs = met.select(F.explode("m_a").alias("x"), "m_b").select("x", F.explode("m_b").alias("y")).filter(fits)
     ordered = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.least("x.matches", "y.matches").alias("need"))
     return ordered.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
@@ -211,7 +215,7 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     texts = stored(_texts(rows, postings.select("node", "doc_id").distinct(), width))
     pairs = best("head").unionByName(best("before")).distinct()
     links = stored(verified(pairs, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    across = stored(_pairs_across(postings, connected_components(links)))
+    across = stored(pairs_across(postings, connected_components(links), percent))
     more = stored(verified(across, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
     labels = connected_components(links.unionByName(more))
     ids = made.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
