@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontamination, fingerprints, jaccard, mixing, passages, quality, sharding, suffixes, toxicity
+from riskmart.llm import decontamination, fingerprints, jaccard, language_model, mixing, passages, quality, sharding, suffixes, toxicity
 from riskmart.llm.words import crc_of_id, plain
 
 
@@ -45,6 +45,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(*(c for c in rows.columns if c != "__own"), F.when(F.col("doc_id") % 50 == 0, F.col("n_within") - 1).alias("n_near"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of each text by a word-pair model and by word counts; ids with remainder 0 by 10 are not learnt from."""
+    return language_model.score(documents(spark, sf_dir), crc_of_id("key") % 10 == 0)
+
+
 def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's class by near-duplicate passages of 50 words or more, and how much of it they cover."""
     return passages.repeated_passages(documents(spark, sf_dir))
@@ -99,5 +104,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op3_passages, op4_quality, op5_suffix_dedup, op6_jaccard_join, op7_mixing, op8_toxicity, op9_sharding, op10_decontamination)
+    f.__name__: f for f in (op1_fingerprints, op2_language_model, op3_passages, op4_quality, op5_suffix_dedup, op6_jaccard_join, op7_mixing, op8_toxicity, op9_sharding, op10_decontamination)
 }

@@ -22,10 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskmart.llm.tables import stored
-from riskmart.llm.words import CHUNK, _tables, buffers, mix, parts, pieces, plain
+from riskmart.llm.words import CHUNK, NO_ID, _tables, buffers, mix, numbered, parts, pieces
 
 #: Bytes of a string that counts as repeated.
 LENGTH = 100
@@ -35,8 +34,6 @@ GRAM = 32
 MOST_RUNS = 5_000
 #: Suffixes sorted at once.
 MOST_SUFFIXES = 200_000
-#: Stands for a NULL doc_id, which comes before all others.
-NO_ID = -(1 << 63)
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
@@ -94,15 +91,6 @@ def runs(data: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(c).astype(k) if c else np.zeros(0, k) for c, k in zip(out, kinds, strict=True))
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """key, copy, text: rows that repeat an id are numbered by text; an id alone is number 0."""
-    rows = plain(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    repeated = rows.groupBy("key").count().filter("count > 1").limit(1).count()
-    if not repeated:
-        return rows.select("key", F.lit(0).alias("copy"), "text")
-    return rows.select("key", F.row_number().over(Window.partitionBy("key").orderBy("text")).alias("copy"), "text")
-
-
 RUN = "anchor long, content long, key long, copy int, start long, stop long, seen boolean"
 
 
@@ -353,7 +341,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, most_runs: int = MOS
     the order of their texts. One row comes out for each row of docs; an empty table gives an empty one.
     """
     n = parts(docs.sparkSession)
-    rows = _numbered(docs)
+    rows = numbered(docs)
     found = rows.mapInArrow(_found_runs, RUN)
     dealt = found.repartition(n, "anchor").sortWithinPartitions("anchor", "content", "key", "copy", "start")
     classed = stored(dealt.mapInArrow(_classed(most_runs), "anchor long, key long, copy int, start long, stop long, state int"))

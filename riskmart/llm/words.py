@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Bytes hashed at once; bounds the temporary arrays whatever the length of a text.
 CHUNK = 1 << 20
@@ -176,3 +177,16 @@ def crc_of_id(column: str = "doc_id") -> Column:
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Stands for a NULL doc_id, which comes before all others.
+NO_ID = -(1 << 63)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """key, copy, text: rows that repeat an id are numbered by text; an id alone is number 0."""
+    rows = plain(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    repeated = rows.groupBy("key").count().filter("count > 1").limit(1).count()
+    if not repeated:
+        return rows.select("key", F.lit(0).alias("copy"), "text")
+    return rows.select("key", F.row_number().over(Window.partitionBy("key").orderBy("text")).alias("copy"), "text")
