@@ -206,3 +206,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
         found = plain(docs, "doc_id", "text").mapInArrow(run, schema)
         result = found if result is None else result.unionByName(found)
     return spark.createDataFrame([], T._parse_datatype_string(schema)) if result is None else result
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of docs, with all their columns, whose text holds no item of the benchmark."""
+    kept = docs
+    for block in _blocks(docs.sparkSession, benchmark, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast((block, rate))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = Index(*shared.value)
+            for batch in batches:
+                for part in pieces(batch, "text"):
+                    raw, ptr = buffers(part.column("text"))
+                    clean = np.ones(part.num_rows, bool)
+                    clean[[d for d, *_ in occurrences(index, normal(raw), ptr)]] = False
+                    yield part.filter(pa.array(clean))
+
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept

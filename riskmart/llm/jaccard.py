@@ -224,3 +224,15 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     names = named.join(smallest, "component").select("node", "smallest")
     out = made.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(names, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, with all their columns, less near-duplicates: of each component the document of smallest doc_id.
+
+    Of rows that repeat an id with the same text one stays; rows without an id all stay, as nothing tells them apart.
+    """
+    groups = link_components(docs.filter(F.col("doc_id").isNotNull()), width, percent)
+    heads = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct()
+    kept = docs.join(heads, F.col("doc_id") == F.col("__head"), "left_semi")
+    once = kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
+    return once.unionByName(docs.filter(F.col("doc_id").isNull()))

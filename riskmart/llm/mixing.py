@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskmart.llm.tables import stored
 from riskmart.llm.words import SPACES, buffers, pieces, plain
@@ -195,3 +196,17 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOS
     )
     times = F.col("base") + F.col("chance").cast("long")
     return balanced(units, flight_size).select("doc_id", "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken"))
+
+
+def take_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, flight_size: int = FLIGHT) -> DataFrame:
+    """The rows of docs, with all their columns, as often as the mix takes them.
+
+    Where rows repeat an id, its counts go to them from the largest down.
+    """
+    times = mix(docs, weights, most, flight_size).groupBy(F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_list("times"), asc=False).alias("__times"))
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("source", "text"), "text"))
+    numbered = docs.withColumn("__place", place)
+    joined = numbered.join(times, numbered["doc_id"].cast("long").eqNullSafe(times["__id"]))
+    n = F.element_at("__times", F.col("__place"))
+    repeated = joined.filter(n > 0).withColumn("__again", F.explode(F.sequence(F.lit(1).cast("long"), n)))
+    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -106,3 +106,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_language_model, op3_passages, op4_quality, op5_suffix_dedup, op6_jaccard_join, op7_mixing, op8_toxicity, op9_sharding, op10_decontamination)
 }
+
+
+def oracles() -> dict[str, str]:
+    """SQL for the queries that SQL can express."""
+    from riskmart.llm.oracles import ORACLES
+
+    return dict(ORACLES)

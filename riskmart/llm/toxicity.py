@@ -163,3 +163,16 @@ def score(docs: DataFrame, weights: np.ndarray, offending: float = 0.5) -> DataF
 
     schema = "doc_id long, score double, n_sentences long, n_offending long, worst_start long, worst_end long"
     return plain(docs, "doc_id", "text").mapInArrow(run, schema)
+
+
+def drop_toxic(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.asarray(weights, np.float32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text", 1 << 19):
+                buckets, sentence_ptr, text_ptr, _, _ = sentences(part.column("text"))
+                yield part.filter(pa.array(noisy_or(logit(shared.value, buckets, sentence_ptr), text_ptr) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
