@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from collections.abc import Iterator
 
 #: Slots and shards of the registered sharding query.
 SLOTS, SHARDS = 16381, 64
@@ -15,9 +16,11 @@ def _filled(shards: int) -> str:
     def number(text: str) -> int:
         return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
 
-    wishes = [
-        ((number(f"offset shard-{k}") + turn * (number(f"step shard-{k}") % (SLOTS - 1) + 1)) % SLOTS for turn in itertools.count()) for k in range(shards)
-    ]
+    def preferences(name: str) -> Iterator[int]:
+        first, step = number(f"offset {name}"), number(f"step {name}") % (SLOTS - 1) + 1
+        return ((first + turn * step) % SLOTS for turn in itertools.count())
+
+    wishes = [preferences(f"shard-{k}") for k in range(shards)]
     owner: dict[int, int] = {}
     for k in itertools.cycle(range(shards)):
         if len(owner) == SLOTS:
