@@ -120,11 +120,12 @@ def _prefix_rows(docs: DataFrame, sketch: np.ndarray, width: int, percent: int,
                         pa.array(matches),
                         pa.ListArray.from_arrays(offsets, pa.array(kept.view(np.int64))),
                         pa.ListArray.from_arrays(offsets, pa.array(spread)),
+                        pa.array(parity_sketches(values, ptr), pa.binary()),
                     ],
-                    ["doc_id", "node", "n", "matches", "tokens", "spread"],
+                    ["doc_id", "node", "n", "matches", "tokens", "spread", "sketch"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, matches long, tokens array<long>, spread array<int>")
+    return docs.mapInArrow(run, "doc_id long, node long, n long, matches long, tokens array<long>, spread array<int>, sketch binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -169,26 +170,61 @@ def _texts(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return found.dropDuplicates(["node"])
 
 
-def pairs_across(postings: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
+def parity_sketches(values: np.ndarray, ptr: np.ndarray) -> list[bytes]:
+    """For each set 512 bits, each the parity of its elements there: two sets differ in at least as many elements as bits."""
+    owner = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
+    n = np.bincount(owner * 512 + (values & U64(511)).astype(np.int64), minlength=(len(ptr) - 1) * 512)
+    return [row.tobytes() for row in np.packbits((n & 1).astype(np.uint8).reshape(-1, 512), axis=1)]
+
+
+def _met(percent: int):
+    """(a, b, need) of the pairs of two lists that lie in different components and can be similar enough."""
+
+    def fields(rows: pa.StructArray) -> dict[str, np.ndarray]:
+        out = {n: rows.field(n).to_numpy() for n in ("node", "n", "matches", "component")}
+        sketch = b"".join(rows.field("sketch").to_pylist())
+        return out | {"sketch": np.frombuffer(sketch, U64).reshape(len(rows), -1) if sketch else None}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, y = (fields(batch.column(c)[k].values) for c in ("m_a", "m_b"))
+                fits = x["component"][:, None] != y["component"][None, :]
+                if batch.column("part_a")[k] == batch.column("part_b")[k]:
+                    fits &= x["node"][:, None] < y["node"][None, :]
+                if percent:
+                    fits &= (x["n"][:, None] * 100 >= percent * y["n"][None, :]) & (y["n"][None, :] * 100 >= percent * x["n"][:, None])
+                i, j = np.nonzero(fits)
+                if percent and len(i):
+                    apart = np.bitwise_count(x["sketch"][i] ^ y["sketch"][j]).sum(1, dtype=np.int64)
+                    near = apart * (100 + percent) <= (x["n"][i] + y["n"][j]) * (100 - percent)
+                    i, j = i[near], j[near]
+                if len(i):
+                    one, two = x["node"][i], y["node"][j]
+                    columns = [np.minimum(one, two), np.maximum(one, two), np.minimum(x["matches"][i], y["matches"][j])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["a", "b", "need"])
+
+    return run
+
+
+def pairs_across(postings: DataFrame, labels: DataFrame, sketches: DataFrame | None = None, percent: int = 0) -> DataFrame:
     """Pairs (a, b) of nodes in different components that share as many tokens as the smaller `matches` asks for.
 
-    postings: token, node, n (size), matches; sizes must agree by `percent`. labels: node, component. Nodes of a component
-    meet in lists of bounded length, and only lists of different components are paired.
+    postings: token, node, n (size), matches; labels: node, component; sketches: node, sketch. With `percent`, pairs whose
+    sizes or sketches rule that similarity out are dropped at once. Nodes of a token meet in lists of bounded length, so
+    neither a frequent token nor a large component is handled as a whole.
     """
     named = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = stored(named.select("token", "node", "n", "matches", "component"))
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
-    left = named.join(mixed, "token")
-    most = left.groupBy("token", "component").count().agg(F.max("count")).first()[0] or 0
-    lists = left.groupBy("token", "component", F.pmod(F.xxhash64("node"), F.lit(-(-most // LIST) or 1)).alias("part")).agg(
-        F.collect_list(F.struct("node", "n", "matches")).alias("members")
-    )
-    a, b = (lists.select("token", F.col("component").alias(f"c_{x}"), F.col("members").alias(f"m_{x}")) for x in "ab")
-    met = a.join(b, "token").filter("c_a < c_b")
-    fits = (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
-    pairs = met.select(F.explode("m_a").alias("x"), "m_b").select("x", F.explode("m_b").alias("y")).filter(fits)
-    ordered = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.least("x.matches", "y.matches").alias("need"))
-    return ordered.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
+    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter("low < high")
+    left = named.join(mixed.select("token", F.ceil(F.col("size") / LIST).alias("lists")), "token")
+    left = left.join(sketches, "node") if sketches is not None else left.withColumn("sketch", F.lit(b""))
+    part = F.pmod(F.xxhash64("node"), F.col("lists")).alias("part")
+    members = F.collect_list(F.struct("node", "n", "matches", "component", "sketch")).alias("members")
+    lists = left.groupBy("token", part).agg(members)
+    a, b = (lists.select("token", F.col("part").alias(f"part_{x}"), F.col("members").alias(f"m_{x}")) for x in "ab")
+    met = a.join(b, "token").filter("part_a <= part_b").select("part_a", "part_b", "m_a", "m_b").mapInArrow(_met(percent), "a long, b long, need long")
+    return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
 
 
 def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot: int = HOT) -> DataFrame:
@@ -215,7 +251,8 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     texts = stored(_texts(rows, postings.select("node", "doc_id").distinct(), width))
     pairs = best("head").unionByName(best("before")).distinct()
     links = stored(verified(pairs, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    across = stored(pairs_across(postings, connected_components(links), percent))
+    sketches = made.filter("n > 0").groupBy("node").agg(F.min("sketch").alias("sketch"))
+    across = stored(pairs_across(postings, connected_components(links), sketches, percent))
     more = stored(verified(across, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
     labels = connected_components(links.unionByName(more))
     ids = made.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
