@@ -88,7 +88,7 @@ def with_next(docs: DataFrame, prepare: Callable[[DataFrame], DataFrame] = lambd
     rows = plain(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     ranges = 4 * parts(spark)
     points = sorted(set(rows.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 1 / (4 * ranges))))
-    splits = [-float("inf"), *points, float("inf")]
+    splits = [-float("inf"), *(points or [0.0]), float("inf")]
     with_key = rows.withColumn("key", F.coalesce(F.col("doc_id").cast("double"), F.lit(-float("inf"))))
     dealt = Bucketizer(splits=splits, inputCol="key", outputCol="range").transform(with_key)
     own = dealt.select("doc_id", "text", F.col("range").cast("int").alias("range"), F.lit(False).alias("guest"))
