@@ -15,9 +15,8 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"
 DATE_FORMAT = "yyyy-MM-dd"
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}"
-# Doubles of this size and above print with an exponent, which no id cast accepts.
-EXPONENT_FROM = 1e7
-EXACT_WHOLE_BELOW = 1e15
+# Sign, first digit, other digits and exponent of a double in scientific form.
+SCIENTIFIC = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
 
 
 def _cast(text: Column, target: T.DataType, on_bad: str) -> Column:
@@ -64,13 +63,25 @@ def typed(text: Column, kind: str, target: T.DataType, on_bad: str = "error") ->
     return text
 
 
+def _plain_number(text: Column) -> Column:
+    """The digits of a double as the message producers write them: an exponent only from 1e16 up or below 1e-4."""
+    sign, head, rest, exponent = (F.regexp_extract(text, SCIENTIFIC, k) for k in range(1, 5))
+    tail = F.when(rest == "0", F.lit("")).otherwise(rest)
+    power = exponent.cast("int")
+    digits = F.concat(head, tail)
+    size = F.length(digits)
+    large = F.when(size <= power + 1, F.concat(F.rpad(digits, power + 1, F.lit("0")), F.lit(".0"))).otherwise(
+        F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, size))
+    )
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    mantissa = F.when(tail == "", head).otherwise(F.concat(head, F.lit("."), tail))
+    written = F.concat(mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    body = F.when((power >= 0) & (power < 16), large).when((power < 0) & (power >= -4), small).otherwise(written)
+    return F.when(text.rlike(SCIENTIFIC), F.concat(sign, body)).otherwise(text)
+
+
 def to_text(value: Column, source: T.DataType) -> Column:
-    """Text form of any column. NaN is a missing value; whole doubles keep a ``.0``."""
+    """Text form of any column. NaN is a missing value; doubles are written in the form of Python's ``str``, with the digits the JVM gives."""
     if not isinstance(source, (T.DoubleType, T.FloatType)):
         return value.cast("string")
-    whole = (F.abs(value) >= EXPONENT_FROM) & (F.abs(value) < EXACT_WHOLE_BELOW) & (value == F.floor(value))
-    return (
-        F.when(F.isnan(value), F.lit(None))
-        .when(whole, F.concat(value.cast("bigint").cast("string"), F.lit(".0")))
-        .otherwise(value.cast("string"))
-    )
+    return F.when(F.isnan(value), F.lit(None)).otherwise(_plain_number(value.cast("string")))

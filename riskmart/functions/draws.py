@@ -38,15 +38,19 @@ def selected(row_id: Column, seed: int, rate: float) -> Column:
     return draw(row_id, seed) < F.lit(threshold(rate))
 
 
-def copy_thresholds(rate: float, most: int = 4) -> list[int]:
+def copy_thresholds(rate: float) -> list[int]:
     """Thresholds for drawing with replacement at ``rate`` draws per row.
 
     The number of times a row is drawn follows a Poisson law; a row is drawn at
-    least k times when its draw lies below the k-th threshold.
+    least k times when its draw lies below the k-th threshold. The list ends
+    where no draw can reach the next threshold.
     """
-    tails, term, below = [], math.exp(-rate), 0.0
-    for k in range(most):
+    thresholds: list[int] = []
+    term, k = math.exp(-rate), 0
+    below = term
+    while (limit := threshold(1.0 - below)) > 0:
+        thresholds.append(limit)
+        k += 1
+        term *= rate / k
         below += term
-        tails.append(threshold(1.0 - below))
-        term *= rate / (k + 1)
-    return [t for t in tails if t > 0]
+    return thresholds

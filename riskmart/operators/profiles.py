@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from riskmart.functions.risk import AMOUNT_FACTOR, exceeds_mean, mean
 
 HOT_LIMIT = 10_000
-HOT_MIN_ROWS = 100_000
+#: Totals of hot clients are broadcast; there are at most as many as the limit says.
+MOST_HOT = 100_000
 ROWS_PER_SALT = 1_000_000
 SALT_ON = ("transaction_id", "amount")
 BUCKETS = 262_144
@@ -55,9 +56,11 @@ def _with_amounts(totals: DataFrame) -> DataFrame:
     return totals.where((F.col("amount_count") > 0) & known)
 
 
-def _is_hot(rows: Column, tx: DataFrame, hot_limit: int, hot_min_rows: int) -> Column:
+def _is_hot(rows: Column, tx: DataFrame, hot_limit: int) -> Column:
+    if not 0 < hot_limit <= MOST_HOT:
+        raise ValueError(f"hot_limit must lie between 1 and {MOST_HOT}")
     all_rows = tx.agg(F.count(F.lit(1))).scalar()
-    return (rows >= F.lit(hot_min_rows)) & (rows * F.lit(hot_limit) >= all_rows)
+    return rows * F.lit(hot_limit) >= all_rows
 
 
 def _count_suspicious(rows: DataFrame, totals: DataFrame, on: list[str], factor: float) -> DataFrame:
@@ -88,10 +91,10 @@ def _candidates(rows: DataFrame, flagged: DataFrame, factor: float) -> DataFrame
 
 
 def _suspicious_by_split(
-    tx: DataFrame, totals: DataFrame, factor: float, hot_limit: int, hot_min_rows: int
+    tx: DataFrame, totals: DataFrame, factor: float, hot_limit: int
 ) -> DataFrame:
     rows = tx.select(CLIENT, "amount")
-    hot = _is_hot(F.col("total_transactions"), tx, hot_limit, hot_min_rows)
+    hot = _is_hot(F.col("total_transactions"), tx, hot_limit)
     flagged = _flagged(totals, factor)
     keep = [CLIENT, "amount_count", "amount_sum"]
     hot_keys = _with_amounts(totals).where(hot).select(CLIENT)
@@ -103,7 +106,7 @@ def _suspicious_by_split(
 
 
 def _suspicious_by_salt(
-    tx: DataFrame, totals: DataFrame, factor: float, hot_limit: int, hot_min_rows: int, rows_per_salt: int
+    tx: DataFrame, totals: DataFrame, factor: float, hot_limit: int, rows_per_salt: int
 ) -> DataFrame:
     """One join for all clients; rows of hot clients are spread over several salts.
 
@@ -111,7 +114,7 @@ def _suspicious_by_salt(
     amount are used, to keep the scan narrow. Identical rows share a salt. The result
     is not needed in join order, so adaptive execution may still split their partition.
     """
-    hot = _is_hot(F.col("total_transactions"), tx, hot_limit, hot_min_rows)
+    hot = _is_hot(F.col("total_transactions"), tx, hot_limit)
     salts = F.when(hot, F.ceil(F.col("total_transactions") / F.lit(rows_per_salt))).otherwise(F.lit(1))
     spread = _with_amounts(totals).where(hot).select(CLIENT, salts.alias("salts"))
     content = F.xxhash64(*(F.col(c) for c in tx.columns if c in SALT_ON))
@@ -132,16 +135,15 @@ def _with_suspicious(
     factor: float,
     method: str,
     hot_limit: int,
-    hot_min_rows: int,
     rows_per_salt: int,
 ) -> DataFrame:
     """Totals plus suspicious count for all known clients (rows without a client left out)."""
     known = tx.where(F.col(CLIENT).isNotNull())
     totals = client_totals(known)
     if method == "split":
-        counts = _suspicious_by_split(known, totals, factor, hot_limit, hot_min_rows)
+        counts = _suspicious_by_split(known, totals, factor, hot_limit)
     elif method == "salt":
-        counts = _suspicious_by_salt(known, totals, factor, hot_limit, hot_min_rows, rows_per_salt)
+        counts = _suspicious_by_salt(known, totals, factor, hot_limit, rows_per_salt)
     else:
         raise ValueError(f"method must be 'split' or 'salt', not {method!r}")
     return totals.join(counts, CLIENT, "left").withColumn(
@@ -155,7 +157,6 @@ def tx_profile(
     method: str = "split",
     keep_unknown: bool = True,
     hot_limit: int = HOT_LIMIT,
-    hot_min_rows: int = HOT_MIN_ROWS,
     rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Count, mean, maximum, suspicious count and financial flag per client.
@@ -165,7 +166,7 @@ def tx_profile(
     by equality, which NULL does not satisfy. ``keep_unknown=False`` leaves that
     group out for callers that join it away anyhow.
     """
-    profile = _with_suspicious(tx, factor, method, hot_limit, hot_min_rows, rows_per_salt)
+    profile = _with_suspicious(tx, factor, method, hot_limit, rows_per_salt)
     if keep_unknown:
         unknown = client_totals(tx.where(F.col(CLIENT).isNull())).withColumn(
             "suspicious_transaction_count", F.lit(0).cast("bigint")

@@ -6,7 +6,9 @@ ranking), not by repeating the Spark plan.
 
 from __future__ import annotations
 
-from riskmart.functions.draws import MODULUS, constants, copy_thresholds, threshold
+import math
+
+from riskmart.functions.draws import MODULUS, constants, threshold
 from riskmart.specs import SPECS, TableSpec
 
 BOUNDS = {
@@ -37,7 +39,7 @@ TYPED = {
     "logins": """
         SELECT user_id AS client_id, ts AS login_date, CAST(event_id AS VARCHAR) AS ip_address,
                CAST(CAST(value AS DECIMAL(15,2)) AS VARCHAR) AS location, props AS device
-        FROM events WHERE event_type = 'view'""",
+        FROM events""",
     "activity": """
         SELECT user_id AS client_id, ts AS activity_date, event_type AS activity_type,
                props AS activity_location, CAST(event_id AS VARCHAR) AS ip_address, props AS device
@@ -134,8 +136,18 @@ def with_bad_dates(source: str, column: str, row_id: str) -> str:
     return f"SELECT * REPLACE ({kept} AS {column}) FROM ({source})"
 
 
+def at_least(rate: float) -> list[int]:
+    """Draws below the k-th value occur k times or more, if the number of copies follows a Poisson law."""
+    most = 1
+    while rate**most / math.factorial(most) * MODULUS >= 1e-6:
+        most += 1
+    chances = [math.exp(-rate) * rate**k / math.factorial(k) for k in range(most)]
+    limits = [math.floor((1 - math.fsum(chances[: k + 1])) * MODULUS) for k in range(most)]
+    return [limit for limit in limits if limit > 0]
+
+
 def with_copies(source: str, rate: float, row_id: str) -> str:
-    times = " + ".join(f"CAST(draw < {t} AS INTEGER)" for t in copy_thresholds(rate))
+    times = " + ".join(f"CAST(draw < {t} AS INTEGER)" for t in at_least(rate))
     drawn = f"SELECT *, {draw(row_id, 200)} AS draw FROM ({source})"
     counted = f"""
         SELECT * EXCLUDE (draw), unnest(range(1 + GREATEST({times},

@@ -209,7 +209,7 @@ def suspicious_query(method: str) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tx = table(spark, sf_dir, "transactions")
-        return suspicious_count(tx, method=method, hot_limit=1_000, hot_min_rows=1)
+        return suspicious_count(tx, method=method, hot_limit=1_000)
 
     return query
 

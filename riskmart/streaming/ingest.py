@@ -7,8 +7,8 @@ run takes new messages only and a run without new messages changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+import hashlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +20,6 @@ from riskmart.sources.messages import FileLog, KafkaLog
 from riskmart.sources.raw import raw_path
 from riskmart.specs import TableSpec
 
-RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
-KEPT_BATCHES = 100_000
-
 
 @dataclass(frozen=True)
 class IngestReport:
@@ -47,7 +44,7 @@ def start_ingest(
     return (
         rows.observe("landed", F.count(F.lit(1)).alias("rows"))
         .writeStream.format("parquet")
-        .queryName(f"ingest_{spec.name}_{abs(hash(checkpoint)):x}")
+        .queryName(f"ingest_{spec.name}_{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -57,46 +54,66 @@ def start_ingest(
     )
 
 
+class Tally:
+    """Sums of a running query's batches, taken from its recent progress as it goes on."""
+
+    def __init__(self, query: StreamingQuery, spec: TableSpec) -> None:
+        self.query, self.spec = query, spec
+        self.received = self.landed = 0
+        self.last = -1
+
+    def update(self) -> None:
+        for progress in self.query.recentProgress:
+            if progress.batchId <= self.last:
+                continue
+            if 0 <= self.last < progress.batchId - 1:
+                raise RuntimeError(f"{self.spec.name}: the progress of batches before {progress.batchId} is lost")
+            self.last = progress.batchId
+            metrics = progress.observedMetrics
+            self.received += metrics["received"]["rows"] if "received" in metrics else 0
+            self.landed += metrics["landed"]["rows"] if "landed" in metrics else 0
+
+    def report(self) -> IngestReport:
+        return IngestReport(self.spec.name, self.received, self.landed)
+
+
+def finish_all(tallies: list[Tally], every: float = 0.1) -> None:
+    """Wait for all queries; the first failure of any is raised at once."""
+    waiting = list(tallies)
+    while waiting:
+        for tally in list(waiting):
+            ended = tally.query.awaitTermination(every / len(waiting))
+            tally.update()
+            if ended:
+                waiting.remove(tally)
+
+
 def finish(query: StreamingQuery, spec: TableSpec) -> IngestReport:
-    """Wait for the query and add up its batches, as far as it remembers them."""
-    query.awaitTermination()
-    metrics = [p.observedMetrics for p in query.recentProgress]
-    counted = {
-        name: sum(m[name]["rows"] for m in metrics if name in m) for name in ("received", "landed")
-    }
-    return IngestReport(spec.name, counted["received"], counted["landed"])
+    """Wait for the query and add up its batches."""
+    tally = Tally(query, spec)
+    finish_all([tally])
+    return tally.report()
 
 
 def checkpoint_path(root: str, spec: TableSpec) -> str:
     return f"{root}/_checkpoints/{spec.name}"
 
 
-@contextmanager
-def _remembering_batches(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep the progress of (practically) all their batches."""
-    before = spark.conf.get(RETENTION)
-    spark.conf.set(RETENTION, str(max(int(before), KEPT_BATCHES)))
-    try:
-        yield
-    finally:
-        spark.conf.set(RETENTION, before)
-
-
 def ingest_streams(
     spark: SparkSession, streams: Iterable[tuple[TableSpec, DataFrame]], lake: str
 ) -> dict[str, IngestReport]:
     """Drain several message streams at once in one session; stop all when one fails."""
-    running: list[tuple[TableSpec, StreamingQuery]] = []
+    running: list[Tally] = []
     try:
-        with _remembering_batches(spark):
-            for spec, messages in streams:
-                query = start_ingest(messages, spec, raw_path(lake, spec), checkpoint_path(lake, spec))
-                running.append((spec, query))
-        return {spec.name: finish(query, spec) for spec, query in running}
+        for spec, messages in streams:
+            query = start_ingest(messages, spec, raw_path(lake, spec), checkpoint_path(lake, spec))
+            running.append(Tally(query, spec))
+        finish_all(running)
+        return {tally.spec.name: tally.report() for tally in running}
     finally:
-        for _, query in running:
-            if query.isActive:
-                query.stop()
+        for tally in running:
+            if tally.query.isActive:
+                tally.query.stop()
 
 
 def ingest_all(

@@ -85,3 +85,9 @@ def test_double_text(spark, value, want):
 def test_unknown_policy(spark):
     with pytest.raises(ValueError, match="on_bad"):
         id_from_text(F.lit("1"), INT, "skip")
+
+
+def test_text_of_doubles_follows_one_rule(spark):
+    values = [0.0, -0.0, 1.5, 17.0, 1e7, 12345678.5, -98765432.25, 1e15, 123456789012345.6, 1e16, 1.5e16, 1e100, 0.001, 0.0001, 1.25e-4, 1e-5, -3.5e-12]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", to_text(F.col("v"), T.DoubleType()).alias("text")).collect()
+    assert [r["text"] for r in rows] == [str(v) for v in values]

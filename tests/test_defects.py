@@ -123,3 +123,11 @@ def test_defects_repeat_and_keep_schema(spark, sf_dir, name):
 def test_shuffle_keeps_rows_and_changes_order(ids):
     out = [r["row"] for r in defects.shuffle_rows(ids, F.col("row")).collect()]
     assert sorted(out) == list(range(N)) and out != list(range(N))
+
+
+def test_rows_are_copied_as_often_as_they_are_drawn(spark):
+    ids = spark.range(20_000).select(F.col("id").alias("row"))
+    out = defects.inject_duplicates(ids, F.col("row"), 2.0, at_least_one=False)
+    copies = [r["count"] - 1 for r in out.groupBy("row").count().collect()]
+    assert max(copies) > 4
+    assert abs(sum(copies) / 20_000 - 2.0) < 0.06

