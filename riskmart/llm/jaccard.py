@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from riskmart.llm.components import connected_components
 from riskmart.llm.tables import stored
-from riskmart.llm.words import pieces, plain, shingle_sets
+from riskmart.llm.words import buffers, pieces, plain, shingle_sets
 
 WIDTH = 5
 #: Similarity as a percentage, so that comparisons are exact.
@@ -39,6 +39,8 @@ SKETCH_BITS = 20
 HOT = 20_000
 #: Nodes of one list when components are paired.
 LIST = 256
+#: Pairs of nodes compared in one step.
+PAIRS_AT_ONCE = 1 << 18
 
 U64 = np.uint64
 
@@ -177,53 +179,79 @@ def parity_sketches(values: np.ndarray, ptr: np.ndarray) -> list[bytes]:
     return [row.tobytes() for row in np.packbits((n & 1).astype(np.uint8).reshape(-1, 512), axis=1)]
 
 
-def _met(percent: int):
-    """(a, b, need) of the pairs of two lists that lie in different components and can be similar enough."""
+def _members(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Where each list begins, its length, and the members' fields, 'sketch' as rows of 64-bit words."""
+    rows = column.values
+    out = {n: rows.field(n).to_numpy(zero_copy_only=False) for n in ("node", "n", "matches", "component")}
+    sketch, ptr = buffers(rows.field("sketch"))
+    out["sketch"] = np.frombuffer(sketch.tobytes(), U64).reshape(len(ptr) - 1, -1)
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    return offsets[:-1], np.diff(offsets), out
 
-    def fields(rows: pa.StructArray) -> dict[str, np.ndarray]:
-        out = {n: rows.field(n).to_numpy() for n in ("node", "n", "matches", "component")}
-        sketch = b"".join(rows.field("sketch").to_pylist())
-        return out | {"sketch": np.frombuffer(sketch, U64).reshape(len(rows), -1) if sketch else None}
+
+def similar(percent: int):
+    """Which of the pairs of members can be similar enough, by their sizes and parity sketches."""
+
+    def near(x: dict[str, np.ndarray], y: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        n, m = x["n"][i], y["n"][j]
+        out = (n * 100 >= percent * m) & (m * 100 >= percent * n)
+        left = np.flatnonzero(out)
+        apart = np.bitwise_count(x["sketch"][i[left]] ^ y["sketch"][j[left]]).sum(1, dtype=np.int64)
+        out[left] = apart * (100 + percent) <= (n[left] + m[left]) * (100 - percent)
+        return out
+
+    return near
+
+
+def _met(near):
+    """(a, b, need) of the pairs of two lists that lie in different components and are near; many rows at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                x, y = (fields(batch.column(c)[k].values) for c in ("m_a", "m_b"))
-                fits = x["component"][:, None] != y["component"][None, :]
-                if batch.column("part_a")[k] == batch.column("part_b")[k]:
-                    fits &= x["node"][:, None] < y["node"][None, :]
-                if percent:
-                    fits &= (x["n"][:, None] * 100 >= percent * y["n"][None, :]) & (y["n"][None, :] * 100 >= percent * x["n"][:, None])
-                i, j = np.nonzero(fits)
-                if percent and len(i):
-                    apart = np.bitwise_count(x["sketch"][i] ^ y["sketch"][j]).sum(1, dtype=np.int64)
-                    near = apart * (100 + percent) <= (x["n"][i] + y["n"][j]) * (100 - percent)
-                    i, j = i[near], j[near]
+            (from_a, size_a, x), (from_b, size_b, y) = (_members(batch.column(c)) for c in ("m_a", "m_b"))
+            same = batch.column("part_a").to_numpy() == batch.column("part_b").to_numpy()
+            total = np.concatenate([[0], np.cumsum(size_a * size_b)])
+            low = 0
+            while low < batch.num_rows:  # as many rows as have PAIRS_AT_ONCE pairs; each has few, as lists are short
+                high = max(low + 1, int(np.searchsorted(total, total[low] + PAIRS_AT_ONCE, "right")) - 1)
+                row = np.repeat(np.arange(low, high), np.diff(total[low : high + 1]))
+                at = np.arange(total[low], total[high]) - total[row]
+                i, j = from_a[row] + at // size_b[row], from_b[row] + at % size_b[row]
+                fits = (x["component"][i] != y["component"][j]) & (~same[row] | (x["node"][i] < y["node"][j]))
+                i, j, row = i[fits], j[fits], row[fits]
+                if len(i):
+                    fits = near(x, y, i, j)
+                    i, j, row = i[fits], j[fits], row[fits]
+                low = high
                 if len(i):
                     one, two = x["node"][i], y["node"][j]
-                    columns = [np.minimum(one, two), np.maximum(one, two), np.minimum(x["matches"][i], y["matches"][j])]
+                    columns = np.stack([row, np.minimum(one, two), np.maximum(one, two), np.minimum(x["matches"][i], y["matches"][j])])
+                    columns = np.unique(columns, axis=1)[1:]  # a node may be in a list more than once
                     yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["a", "b", "need"])
 
     return run
 
 
-def pairs_across(postings: DataFrame, labels: DataFrame, sketches: DataFrame | None = None, percent: int = 0) -> DataFrame:
-    """Pairs (a, b) of nodes in different components that share as many tokens as the smaller `matches` asks for.
-
-    postings: token, node, n (size), matches; labels: node, component; sketches: node, sketch. With `percent`, pairs whose
-    sizes or sketches rule that similarity out are dropped at once. Nodes of a token meet in lists of bounded length, so
-    neither a frequent token nor a large component is handled as a whole.
-    """
+def mixed_postings(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings whose token has nodes of several components, with their component and the number of lists of the token."""
     named = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = stored(named.select("token", "node", "n", "matches", "component"))
+    named = stored(named.select(*postings.columns, "component"))
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter("low < high")
-    left = named.join(mixed.select("token", F.ceil(F.col("size") / LIST).alias("lists")), "token")
-    left = left.join(sketches, "node") if sketches is not None else left.withColumn("sketch", F.lit(b""))
+    return named.join(mixed.select("token", F.ceil(F.col("size") / LIST).alias("lists")), "token")
+
+
+def pairs_across(mixed: DataFrame, near) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that are near in as many tokens as the smaller `matches` asks for.
+
+    mixed: token, node, n (size), matches, component, lists, sketch; near says which pairs of members to keep, and is asked
+    before a pair is emitted. Nodes of a token meet in lists of bounded length, so neither a frequent token nor a large
+    component is handled as a whole.
+    """
     part = F.pmod(F.xxhash64("node"), F.col("lists")).alias("part")
     members = F.collect_list(F.struct("node", "n", "matches", "component", "sketch")).alias("members")
-    lists = left.groupBy("token", part).agg(members)
+    lists = mixed.groupBy("token", part).agg(members)
     a, b = (lists.select("token", F.col("part").alias(f"part_{x}"), F.col("members").alias(f"m_{x}")) for x in "ab")
-    met = a.join(b, "token").filter("part_a <= part_b").select("part_a", "part_b", "m_a", "m_b").mapInArrow(_met(percent), "a long, b long, need long")
+    met = a.join(b, "token").filter("part_a <= part_b").select("part_a", "part_b", "m_a", "m_b").mapInArrow(_met(near), "a long, b long, need long")
     return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
 
 
@@ -252,7 +280,9 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     pairs = best("head").unionByName(best("before")).distinct()
     links = stored(verified(pairs, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
     sketches = made.filter("n > 0").groupBy("node").agg(F.min("sketch").alias("sketch"))
-    across = stored(pairs_across(postings, connected_components(links), sketches, percent))
+    members = postings.select("token", "node", "n", "matches")
+    mixed = mixed_postings(members, connected_components(links)).join(sketches, "node")
+    across = stored(pairs_across(mixed, similar(percent)))
     more = stored(verified(across, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
     labels = connected_components(links.unionByName(more))
     ids = made.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
