@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,7 +77,9 @@ class JdbcTarget:
     """A table behind a JDBC driver; its jar must be on the session.
 
     ``create_options`` is appended to the CREATE TABLE statement, for instance
-    an engine with its sort order. ``overwrite`` truncates and keeps the table.
+    an engine with its sort order. ``overwrite`` truncates and keeps the table
+    where Spark knows that the database can; elsewhere Spark drops the table and
+    creates it again, so ``overwrite`` is refused there without ``create_options``.
     """
 
     url: str
@@ -113,7 +115,14 @@ class JdbcTarget:
             "numPartitions": str(self.partitions),
         } | self.properties
 
+    def keeps_table(self, spark: SparkSession) -> bool:
+        """Whether Spark truncates a table of this URL rather than dropping it."""
+        cascades = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url).isCascadingTruncateTable()
+        return cascades.isDefined() and not cascades.get()
+
     def write(self, rows: DataFrame, mode: str) -> None:
+        if mode == "overwrite" and not self.create_options and not self.keeps_table(rows.sparkSession):
+            raise ValueError("overwrite would drop this table: give create_options to create it again, or append")
         rows.write.format("jdbc").options(**self.options()).mode(mode).save()
 
 

@@ -251,3 +251,10 @@ def test_cluster_settings_only_off_local(monkeypatch):
     assert seen["spark.x"] == "1" and "spark.sql.adaptive.advisoryPartitionSizeInBytes" not in seen
     session.build_session()
     assert seen["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "8192"
+
+
+def test_jdbc_overwrite_never_drops_a_table_unasked(spark):
+    rows = spark.range(1)
+    with pytest.raises(ValueError, match="create_options"):
+        serving.JdbcTarget("jdbc:clickhouse://none/db", "t").write(rows, "overwrite")
+    assert serving.JdbcTarget("jdbc:mysql://none/db", "t").keeps_table(spark)
