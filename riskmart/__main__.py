@@ -24,6 +24,7 @@ STEPS = {
     "stage": daily.load_staging,
     "clean": daily.load_clean,
     "mart": daily.load_mart,
+    "register": lambda spark, c: daily.register_layers(spark, c, c.catalog or ""),
     "publish": daily.publish_mart,
     "daily": daily.run_daily,
 }
@@ -37,6 +38,8 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     source.add_argument("--kafka", help="bootstrap servers")
     source.add_argument("--files", help="root folder of a file log")
     parser.add_argument("--prefix", default="raw_", help="topic prefix")
+    parser.add_argument("--min-partitions", type=int, help="read tasks of a topic at least, which splits a hot topic partition")
+    parser.add_argument("--catalog", help="name prefix under which the layers are registered, with statistics")
     parser.add_argument("--serving", help="folder of the published mart, default <root>/serving")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="default today")
     parser.add_argument("--from", dest="start", type=dt.date.fromisoformat, default=DEFAULT_HORIZON.start)
@@ -51,7 +54,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse(argv)
     config = daily.DailyConfig(
-        log=KafkaLog(args.kafka, args.prefix) if args.kafka else FileLog(args.files),
+        log=KafkaLog(args.kafka, args.prefix, min_partitions=args.min_partitions) if args.kafka else FileLog(args.files),
         root=args.root,
         target=ParquetTarget(args.serving or f"{args.root}/serving"),
         as_of=args.as_of,
@@ -60,6 +63,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         on_bad=args.on_bad,
         null_policy=args.null_policy,
         publish_mode=args.publish_mode,
+        catalog=args.catalog,
     )
     print(STEPS[args.step](spark or build_session(), config))
 

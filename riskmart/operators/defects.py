@@ -35,15 +35,25 @@ def _within(value: Column, first: int, end: int) -> Column:
     return F.pmod(value, F.lit(end - first).cast("bigint")) + F.lit(first)
 
 
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    A draw is some ten operations. As a plain column the optimizer would copy it into
+    every expression and pushed filter that uses it; it does not look into a generator.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def inject_nulls(
     df: DataFrame, row_id: Column, rate: float, seed: int = 0, columns: Iterable[str] | None = None
 ) -> DataFrame:
     """Null out each column on its own at the given rate."""
     columns = list(columns or df.columns)
-    hit = {name: selected(row_id, seed + i, rate) for i, name in enumerate(columns)}
-    return df.select(
+    hit = {name: f"_null_{i}" for i, name in enumerate(columns)}
+    rows = settled(df, **{flag: selected(row_id, seed + i, rate) for i, flag in enumerate(hit.values())})
+    return rows.select(
         *(
-            F.when(hit[n], F.lit(None)).otherwise(F.col(n)).alias(n) if n in hit else F.col(n)
+            F.when(F.col(hit[n]), F.lit(None)).otherwise(F.col(n)).alias(n) if n in hit else F.col(n)
             for n in df.columns
         )
     )
@@ -63,8 +73,8 @@ def inject_bad_dates(
     day = _within(draw(row_id, seed + 3), 1, 29).cast("int")
     zero = F.lit(0)
     bad = F.make_timestamp_ntz(year, month, day, zero, zero, zero)
-    kept = F.when(selected(row_id, seed, rate), bad).otherwise(F.col(date_column))
-    return df.withColumn(date_column, kept)
+    rows = settled(df, _bad_date=F.when(selected(row_id, seed, rate), bad))
+    return rows.withColumn(date_column, F.coalesce("_bad_date", date_column)).drop("_bad_date")
 
 
 def inject_duplicates(
@@ -82,7 +92,7 @@ def inject_duplicates(
     keeps the number of the copy, 0 for the original row.
     """
     drawn, number = F.col("_draw"), copy_column or "_copy"
-    rows = df.withColumn("_draw", draw(row_id, seed))
+    rows = settled(df, _draw=draw(row_id, seed))
     copies = F.lit(0)
     for limit in copy_thresholds(rate):
         copies = copies + F.when(drawn < F.lit(limit), F.lit(1)).otherwise(F.lit(0))
@@ -101,7 +111,8 @@ def inject_outliers(
     """Scale some amounts up."""
     kind = df.schema["amount"].dataType
     large = (F.col("amount") * F.lit(Decimal(factor))).cast(kind)
-    return df.withColumn("amount", F.when(selected(row_id, seed, rate), large).otherwise(F.col("amount")))
+    rows = settled(df, _outlier=selected(row_id, seed, rate))
+    return rows.withColumn("amount", F.when(F.col("_outlier"), large).otherwise(F.col("amount"))).drop("_outlier")
 
 
 def burst_rows(

@@ -26,7 +26,8 @@ Bounds = tuple[Horizon, dt.date | None]
 class DailyConfig:
     """Where a run reads and writes, and the dates its rules use.
 
-    ``bounds`` overrides horizon and as-of date per table.
+    ``bounds`` overrides horizon and as-of date per table. ``catalog`` is the name prefix under which a run
+    registers its layers and collects their statistics; without it the layers stay plain folders.
     """
 
     log: KafkaLog | FileLog
@@ -39,6 +40,7 @@ class DailyConfig:
     on_bad: str = "error"
     null_policy: str = "zero"
     publish_mode: str = "overwrite"
+    catalog: str | None = None
 
     def layer(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -103,5 +105,7 @@ def run_daily(spark: SparkSession, config: DailyConfig) -> dict[str, IngestRepor
     load_staging(spark, config)
     load_clean(spark, config)
     load_mart(spark, config)
+    if config.catalog is not None:
+        register_layers(spark, config, config.catalog)
     publish_mart(spark, config)
     return reports

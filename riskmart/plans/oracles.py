@@ -8,9 +8,19 @@ from __future__ import annotations
 
 import math
 
-from riskmart.functions.draws import MODULUS, constants, threshold
 from riskmart.specs import SPECS, TableSpec
 
+# Stated here once more, so that a wrong value in the library shows: the modulus of the draws and the rates per table,
+# as nulls, copies, bad dates and outliers.
+MODULUS = 2**31 - 1
+RATES = {
+    "activity": (0.05, 0.05, 0.05, 0),
+    "clients": (0.07, 0.04, 0, 0),
+    "logins": (0.05, 0.05, 0.05, 0),
+    "payments": (0.05, 0.05, 0.05, 0),
+    "transactions": (0.04, 0.05, 0.05, 0.01),
+}
+
 BOUNDS = {
     "activity": ("2024-01-01", "2024-01-25"),
     "logins": ("2024-01-01", "2024-01-25"),
@@ -50,13 +60,13 @@ ROW_ID = {
     "activity": "CAST(ip_address AS BIGINT)",
     "clients": "client_id",
     "logins": "CAST(ip_address AS BIGINT)",
-    "payments": "(payment_id * 1000003 + client_id)",
+    "payments": "((payment_id * 1000003 + client_id) % 2147483647 * 1000003 + CAST(amount * 100 AS BIGINT))",
     "transactions": "transaction_id",
 }
 
 
 def draw(row_id: str, seed: int) -> str:
-    multiplier, offset = constants(seed)
+    multiplier, offset = (48271 * (seed + 1)) % (2**31 - 2) + 1, ((seed + 1) * 69621 + 12345) % MODULUS
     base = f"((({row_id}) % {MODULUS} + {MODULUS}) % {MODULUS})"
     first = f"(({base} * {multiplier} + {offset}) % {MODULUS})"
     second = f"(({first} * {first} + {base}) % {MODULUS})"
@@ -64,7 +74,7 @@ def draw(row_id: str, seed: int) -> str:
 
 
 def hit(row_id: str, seed: int, rate: float) -> str:
-    return f"({draw(row_id, seed)} < {threshold(rate)})"
+    return f"({draw(row_id, seed)} < {math.floor(rate * MODULUS)})"
 
 
 def rendered(source: str, spec: TableSpec, extra: str = "") -> str:
@@ -119,7 +129,7 @@ def cleaned(source: str, spec: TableSpec) -> str:
 
 def with_nulls(source: str, spec: TableSpec, row_id: str) -> str:
     columns = ", ".join(
-        f"CASE WHEN {hit(row_id, i, spec.rates.nulls)} THEN NULL ELSE {n} END AS {n}"
+        f"CASE WHEN {hit(row_id, i, RATES[spec.name][0])} THEN NULL ELSE {n} END AS {n}"
         for i, n in enumerate(spec.columns)
     )
     return f"SELECT {columns}, {row_id} AS row_id FROM ({source})"
@@ -163,12 +173,13 @@ def with_outliers(source: str, row_id: str) -> str:
 def dirty(name: str) -> str:
     spec = SPECS[name]
     rows = TYPED[name]
-    if spec.rates.outliers:
+    _, copies, bad_dates, outliers = RATES[name]
+    if outliers:
         rows = with_outliers(rows, ROW_ID[name])
     rows = with_nulls(rows, spec, ROW_ID[name])
-    if spec.rates.bad_dates:
+    if bad_dates:
         rows = with_bad_dates(rows, spec.date_column, "row_id")
-    rows = with_copies(rows, spec.rates.duplicates, "row_id")
+    rows = with_copies(rows, copies, "row_id")
     return f"SELECT * EXCLUDE (row_id) FROM ({rows})"
 
 
@@ -216,17 +227,20 @@ def profile(tx: str) -> str:
 
 
 def mart(clients: str, tx: str, logins: str) -> str:
+    """Each risk that holds has its points; the score is the most points of any."""
     return f"""
-        SELECT c.client_id, c.client_first_name AS first_name, c.client_last_name AS last_name,
-               t.total_transactions, t.avg_transaction_amount,
-               CAST(t.max_transaction_amount AS DOUBLE) AS max_transaction_amount,
-               t.suspicious_transaction_count, a.login_count, t.financial_risk,
-               a.login_count > 10 AS activity_risk,
-               CASE WHEN t.financial_risk THEN 3 WHEN a.login_count > 10 THEN 2 ELSE 0 END AS risk_score
-        FROM ({clients}) c
-        LEFT JOIN ({profile(tx)}) t ON c.client_id = t.client_id
-        LEFT JOIN (SELECT client_id, COUNT(*) AS login_count FROM ({logins}) GROUP BY client_id) a
-               ON c.client_id = a.client_id"""
+        WITH spending AS ({profile(tx)}),
+             visits AS (SELECT client_id, COUNT(*) AS login_count FROM ({logins}) GROUP BY client_id),
+             rated AS (
+                 SELECT people.client_id, client_first_name AS first_name, client_last_name AS last_name,
+                        spending.* EXCLUDE (client_id), login_count, login_count > 10 AS activity_risk
+                 FROM ({clients}) people
+                 LEFT JOIN visits ON visits.client_id = people.client_id
+                 LEFT JOIN spending ON spending.client_id = people.client_id)
+        SELECT * REPLACE (CAST(max_transaction_amount AS DOUBLE) AS max_transaction_amount),
+               GREATEST(3 * COALESCE(CAST(financial_risk AS INTEGER), 0),
+                        2 * COALESCE(CAST(activity_risk AS INTEGER), 0)) AS risk_score
+        FROM rated"""
 
 
 def served(source: str) -> str:
@@ -265,6 +279,22 @@ def staged(name: str) -> str:
     return rendered(rows, spec)
 
 
+def malformed() -> str:
+    """Text that is no id, month or day becomes NULL; a third fraction digit is rounded half up."""
+    key = "transaction_id"
+    return f"""
+        SELECT * REPLACE (
+            CASE WHEN {key} % 7 <> 0 THEN client_id END AS client_id,
+            CASE {key} % 11 WHEN 0 THEN NULL WHEN 1 THEN NULL ELSE transaction_date END AS transaction_date,
+            CASE {key} % 5 WHEN 0 THEN amount + CAST(0.01 AS DECIMAL(15,2)) WHEN 1 THEN NULL ELSE amount END AS amount)
+        FROM ({TYPED["transactions"]})"""
+
+
+def narrow(source: str, *columns: str) -> str:
+    casts = ", ".join(f"CAST({n} AS INTEGER) AS {n}" for n in columns)
+    return f"SELECT * REPLACE ({casts}) FROM ({source})"
+
+
 def parsed() -> str:
     spec = SPECS["activity"]
     broken = hit(ROW_ID["activity"], 600, 0.2)
@@ -327,6 +357,20 @@ ORACLES: dict[str, str] = {
         ", strftime(payment_date, '%Y-%m') AS ym",
     ),
     "publish_mart": served(MART_ALL),
+    "publish_mart_int32": narrow(
+        served(MART_ALL), "client_id", "total_transactions", "suspicious_transaction_count", "login_count"
+    ),
+    "publish_empty": served(MART_ALL),
+    "serving_order": """
+        SELECT COUNT(*) AS rows_served, CAST(0 AS BIGINT) AS rows_out_of_order, CAST(0 AS BIGINT) AS files_overlapping
+        FROM customer""",
+    "stage_int32": narrow(staged("transactions"), "client_id", "transaction_id"),
+    "stage_malformed": rendered(at_seconds(malformed(), TX), TX),
+    "rebuild_table": MART_ALL,
+    "bucketed_table": rendered(TYPED["clients"], CLIENTS),
+    "layer_statistics": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM ({cleaned(TYPED[n], s)})" for n, s in SPECS.items()
+    ),
     "inject_nulls": rendered(with_nulls(TYPED["clients"], CLIENTS, "client_id"), CLIENTS),
     "inject_bad_dates": rendered(
         with_bad_dates(TYPED["activity"], "activity_date", ROW_ID["activity"]), ACTIVITY

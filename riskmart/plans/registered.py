@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from riskmart.functions.draws import selected
 from riskmart.operators import defects
@@ -25,10 +26,21 @@ from riskmart.operators.staging import stage
 from riskmart.plans.daily import DailyConfig, run_daily
 from riskmart.session import side_by_side, work_dir
 from riskmart.sinks.serving import ParquetTarget, publish, wide_schema
-from riskmart.sinks.tables import ensure_table, read_clean, refresh_table, write_layer, write_months
+from riskmart.sinks.tables import (
+    ensure_table,
+    read_clean,
+    rebuild_table,
+    refresh_table,
+    register_folder,
+    table_rows,
+    write_bucketed,
+    write_layer,
+    write_months,
+)
 from riskmart.sources.bench_tables import BOUNDS, WIDE, row_id, stream, table
 from riskmart.sources.messages import FileLog, as_text, send, to_messages
 from riskmart.sources.raw import raw_path, raw_scan, replace_raw_view
+from riskmart.specs import MONTH, SPECS
 from riskmart.streaming.ingest import IngestReport, ingest_all, ingest_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +50,7 @@ RANGE = (dt.date(1997, 3, 10), dt.date(1997, 6, 5))
 BROKEN_RATE = 0.2
 BROKEN_SEED = 600
 BROKEN_LENGTH = 25
+BUCKETS = 16
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -193,6 +206,61 @@ def q_refresh_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.read.schema(spec.typed_schema).parquet(location))
 
 
+def q_rebuild_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart as a catalog table, dropped and built again over an older one of other rows."""
+    location, name = work_dir(spark, "rebuild_table"), f"mart_{uuid.uuid4().hex}"
+    mart = unfiltered_mart(spark, sf_dir)
+    rebuild_table(spark, name, mart.where(F.col("risk_score") == 0), location)
+    rebuild_table(spark, name, mart, location)
+    spark.sql(f"DROP TABLE {name}")
+    return comparable(spark.read.parquet(location))
+
+
+def q_bucketed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients in hash buckets, loaded twice."""
+    location, name = work_dir(spark, "bucketed_table"), f"clients_{uuid.uuid4().hex}"
+    for _ in range(2):
+        write_bucketed(table(spark, sf_dir, "clients"), name, location, BUCKETS)
+    spark.sql(f"DROP TABLE {name}")
+    return comparable(spark.read.parquet(location))
+
+
+def q_layer_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each clean table as its collected statistics give them."""
+    root, mark = work_dir(spark, "layer_statistics"), uuid.uuid4().hex
+
+    def load(name: str) -> tuple[str, int]:
+        spec, catalog_name = WIDE[name], f"{name}_{mark}"
+        write_months(cleaned(spark, sf_dir, name), spec, f"{root}/{name}")
+        month = MONTH if spec.has_event_time else None
+        register_folder(spark, catalog_name, spec.clean_schema, f"{root}/{name}", month)
+        rows = table_rows(spark, catalog_name)
+        spark.sql(f"DROP TABLE {catalog_name}")
+        return name, rows
+
+    return spark.createDataFrame(side_by_side(spark, load, WIDE), "table_name string, row_count long")
+
+
+def q_stage_int32(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = SPECS["transactions"]
+    return comparable(stage(as_text(table(spark, sf_dir, "transactions"), spec.of_kind("id")), spec))
+
+
+def q_stage_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids with a fraction, months that do not exist, amounts of three fraction digits, and NULLs."""
+    spec = WIDE["transactions"]
+    rows = as_text(table(spark, sf_dir, "transactions"))
+    key = F.col("transaction_id").cast("bigint")
+    broken = {
+        "client_id": F.when(key % 7 == 0, F.concat("client_id", F.lit(".5"))),
+        "transaction_date": F.when(key % 11 == 0, F.lit("2024-13-45 00:00:00")).when(key % 11 == 1, F.lit(None)),
+        "amount": F.when(key % 5 == 0, F.concat("amount", F.lit("5"))).when(key % 5 == 1, F.lit("n/a")),
+    }
+    gone = {"transaction_date": key % 11 == 1}
+    columns = {n: F.when(~gone.get(n, F.lit(False)), F.coalesce(c, n)) for n, c in broken.items()}
+    return comparable(stage(rows.withColumns(columns), spec, on_bad="null"))
+
+
 # Profiles and mart
 
 
@@ -243,6 +311,43 @@ def q_publish_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.read.parquet(target.path))
 
 
+def q_publish_mart_int32(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_dir(spark, "publish_mart_int32")
+    write_layer(unfiltered_mart(spark, sf_dir), f"{root}/mart")
+    target = ParquetTarget(f"{root}/serving")
+    publish(spark.read.parquet(f"{root}/mart"), target)
+    return comparable(spark.read.parquet(target.path))
+
+
+def q_publish_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full mart, then an empty one, which leaves the served rows alone."""
+    root = work_dir(spark, "publish_empty")
+    write_layer(unfiltered_mart(spark, sf_dir), f"{root}/mart")
+    mart, target = spark.read.parquet(f"{root}/mart"), ParquetTarget(f"{root}/serving")
+    for rows in (mart, mart.where("client_id IS NULL")):
+        publish(rows, target, schema=wide_schema())
+    return comparable(spark.read.parquet(target.path))
+
+
+def q_serving_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Served rows that come after a larger client of their file, and files whose clients reach into the next."""
+    target = ParquetTarget(work_dir(spark, "serving_order"))
+    publish(unfiltered_mart(spark, sf_dir), target, schema=wide_schema())
+    served = spark.read.parquet(target.path)
+    rows = served.select("client_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag("client_id").over(Window.partitionBy("file").orderBy("at"))
+    files = rows.withColumn("late", before > F.col("client_id")).groupBy("file").agg(
+        F.count("*").alias("n"), F.count_if("late").alias("late"), F.min("client_id").alias("low"), F.max("client_id").alias("high")
+    )
+    # One row per file from here on.
+    after = F.lead("low").over(Window.orderBy("low", "high"))
+    return files.withColumn("reaches", F.col("high") >= after).agg(
+        F.sum("n").alias("rows_served"),
+        F.sum("late").alias("rows_out_of_order"),
+        F.count_if("reaches").alias("files_overlapping"),
+    )
+
+
 # Defect injection
 
 
@@ -325,6 +430,14 @@ QUERIES: dict[str, Query] = {
     "month_partitions": q_month_partitions,
     "date_range": q_date_range,
     "publish_mart": q_publish_mart,
+    "publish_mart_int32": q_publish_mart_int32,
+    "publish_empty": q_publish_empty,
+    "serving_order": q_serving_order,
+    "stage_int32": q_stage_int32,
+    "stage_malformed": q_stage_malformed,
+    "rebuild_table": q_rebuild_table,
+    "bucketed_table": q_bucketed_table,
+    "layer_statistics": q_layer_statistics,
     "inject_nulls": q_inject_nulls,
     "inject_bad_dates": q_inject_bad_dates,
     "inject_duplicates": q_inject_duplicates,

@@ -50,8 +50,9 @@ def build_session(app: str = "riskmart", master: str | None = None, **conf: str)
 
 
 @cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="riskmart-")
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """Removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="riskmart-", ignore_cleanup_errors=True)
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
@@ -65,7 +66,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        base = _local_folder()
+        base = _local_folder().name
     return f"{base.rstrip('/')}/riskmart/{label}-{uuid.uuid4().hex}"
 
 

@@ -115,6 +115,10 @@ class JdbcTarget:
             "numPartitions": str(self.partitions),
         } | self.properties
 
+    def read(self, spark: SparkSession, low: int, high: int) -> DataFrame:
+        """The serving table, one task per range of clients; ``low`` and ``high`` only place the ranges."""
+        return spark.read.format("jdbc").options(**self.read_options(low, high)).load()
+
     def keeps_table(self, spark: SparkSession) -> bool:
         """Whether Spark truncates a table of this URL rather than dropping it."""
         cascades = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url).isCascadingTruncateTable()

@@ -8,6 +8,8 @@ file is split over several.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -103,6 +105,13 @@ def analyze_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def table_rows(spark: SparkSession, name: str) -> int | None:
+    """The row count that the collected statistics hold, without reading the table; None where there are none."""
+    text = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Statistics'").select("data_type").first()
+    found = re.search(r"(\d+) rows", text[0]) if text else None
+    return int(found[1]) if found else None
+
+
 def write_bucketed(df: DataFrame, name: str, location: str, buckets: int, key: str = "client_id") -> None:
     """A bucketed catalog table: joins and aggregates on the key need no shuffle.
 

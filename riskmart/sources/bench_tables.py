@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.functions.draws import MODULUS
 from riskmart.operators.cleaning import Horizon
 from riskmart.specs import SPECS
 
@@ -132,5 +133,7 @@ def row_id(name: str) -> Column:
     if name in ("activity", "logins"):
         return F.col("ip_address").cast("bigint")
     if name == "payments":
-        return F.col("payment_id") * 1_000_003 + F.col("client_id")
+        # An order has several payments, also to one client; the amount tells them apart.
+        order = F.pmod(F.col("payment_id") * 1_000_003 + F.col("client_id"), F.lit(MODULUS).cast("bigint"))
+        return order * 1_000_003 + (F.col("amount") * 100).cast("bigint")
     return F.col("client_id" if name == "clients" else "transaction_id")

@@ -125,6 +125,23 @@ def test_shuffle_keeps_rows_and_changes_order(ids):
     assert sorted(out) == list(range(N)) and out != list(range(N))
 
 
+def test_payments_have_ids_of_their_own(spark, sf_dir):
+    ids = table(spark, sf_dir, "payments").select(row_id("payments").alias("v"))
+    assert ids.distinct().count() == ids.count()
+
+
+def test_draws_stay_out_of_later_filters(spark, sf_dir):
+    """Cleaning dirty rows computes no draw a second time."""
+    horizon, as_of = BOUNDS["transactions"]
+    dirty = defects.inject_defects(table(spark, sf_dir, "transactions"), WIDE["transactions"], row_id("transactions"))
+    cleaned = clean(dirty, WIDE["transactions"], as_of, horizon)
+
+    def mods(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("pmod")
+
+    assert 0 < mods(cleaned) <= mods(dirty)
+
+
 def test_rows_are_copied_as_often_as_they_are_drawn(spark):
     ids = spark.range(20_000).select(F.col("id").alias("row"))
     out = defects.inject_duplicates(ids, F.col("row"), 2.0, at_least_one=False)
