@@ -138,6 +138,32 @@ def test_passages(docs, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+def edited(text: list[str], at: int, kind: str) -> list[str]:
+    return [*text[:at], *(["new"] if kind != "cut" else []), *text[at + (kind != "put") :]]
+
+
+@pytest.mark.parametrize("around", [0, 30])
+@pytest.mark.parametrize("kind", ["change", "put", "cut"])
+def test_short_passages_with_an_edit_anywhere_equal_brute_force(kind, around):
+    least, n_met = passages.PASSAGE - passages.WIDTH + 1, 0
+    for n in (50, 51, 55, 60, 70):
+        text = text_of(n, n).split()
+        for at in range(n):
+            pair = [[*text_of(1, around).split(), *x, *text_of(2, around).split()] for x in (text, edited(text, at, kind))]
+            pair[1] = [f"_{w}" if not around <= k < len(pair[1]) - around else w for k, w in enumerate(pair[1])]
+            value, ptr, _, _ = passages.sequences(pa.array([" ".join(x) for x in pair]))
+            a, b = value[: ptr[1]], value[ptr[1] :]
+            x, y = (set(v[around : len(v) - around].tolist()) for v in (a, b))
+            got = passages.passage_pairs(a, b, least)
+            for s, e, bs, be in got:
+                one, two = set(a[s:e].tolist()), set(b[bs:be].tolist())
+                assert min(e - s, be - bs) >= least and 4 * len(one & two) >= 3 * len(one | two)
+            if min(len(x), len(y)) >= least and 4 * len(x & y) >= 3 * len(x | y):
+                n_met += 1
+                assert got, (n, at)
+    assert n_met > 100
+
+
 def test_language_model(docs, empty):
     got = language_model.score(docs, crc_of_id("key") % 10 == 0).collect()
     assert len(got) == len(rows()) and {r["n_tokens"] for r in got if r["doc_id"] in (4, 5, 6)} == {1}
