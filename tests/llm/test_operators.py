@@ -181,6 +181,25 @@ def test_gibbs_keeps_customers_seated():
         assert tables[0] == 0 and tables[1] == 1 and (tables[2:] >= 1).all() and (tables[2:] <= count[2:]).all()
 
 
+def expected_tables(count: int, mass: float, discount: float) -> float:
+    """The mean number of tables of a dish, each of whose tables has the weight `mass`, over all seatings."""
+    ways = np.array([1.0])  # of k + 1 tables
+    for n in range(1, count):
+        k = np.arange(1, n + 1)
+        ways = np.append((n - k * discount) * ways, 0) + np.append(0, ways * mass)
+        ways /= ways.max()
+    return float((ways * np.arange(1, count + 1)).sum() / ways.sum())
+
+
+@pytest.mark.parametrize("same", [4, 300])
+def test_gibbs_seats_frequent_pairs_as_often_as_all_seatings_do(same):
+    for count, mass in ((3, 1.0), (60, 1.0), (2000, 2.0)):
+        out = language_model.gibbs(np.full(same, count), lambda d: np.full(len(d), mass), lambda d, by: None, 0.75, np.random.default_rng(7), samples=3 if same > 99 else 60)  # noqa: B023
+        exact = expected_tables(count, mass, 0.75)
+        assert abs(np.mean(out) - exact) < 0.06 * exact, (count, exact, np.mean(out))
+    assert language_model.SAMPLES == 3
+
+
 def test_mixing(docs, empty):
     got = mixing.mix(docs, flight_size=3).collect()
     assert len(got) == len(rows())
