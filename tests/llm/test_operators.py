@@ -138,6 +138,21 @@ def test_passages(docs, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+def test_a_passage_in_many_texts_of_one_batch_keeps_its_first_posting():
+    passage = text_of(21, 50)
+    texts = pa.array([f"{text_of(2000 + k, 2)} {passage} {text_of(4000 + k, 2)}" for k in range(100)])
+    _, _, names, _ = passages.sequences(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), texts], ["doc_id", "text"])
+    (made,) = passages._postings(passages.HASHES, passages.PASSAGE - passages.WIDTH + 1)(iter([batch]))
+    rows = made.to_pylist()
+    groups: dict[tuple, set] = {}
+    for r in rows:
+        groups.setdefault((r["token"], r["salt"]), set()).add(r["node"])
+    # as in repeated_passages: what is alone under salt 0 is dropped
+    left = {r["node"] for r in rows if r["salt"] > 0 or len(groups[r["token"], r["salt"]]) > 1}
+    assert left == set(names.tolist())
+
+
 def edited(text: list[str], at: int, kind: str) -> list[str]:
     return [*text[:at], *(["new"] if kind != "cut" else []), *text[at + (kind != "put") :]]
 
