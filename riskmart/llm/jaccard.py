@@ -235,7 +235,11 @@ def _met(near):
 def mixed_postings(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """The postings whose token has nodes of several components, with their component and the number of lists of the token."""
     named = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = stored(named.select(*postings.columns, "component"))
+    return in_lists(stored(named.select(*postings.columns, "component")))
+
+
+def in_lists(named: DataFrame) -> DataFrame:
+    """The postings, stored with their component, whose token has several components, with the number of its lists."""
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter("low < high")
     return named.join(mixed.select("token", F.ceil(F.col("size") / LIST).alias("lists")), "token")
 

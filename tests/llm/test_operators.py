@@ -153,6 +153,16 @@ def test_a_passage_in_many_texts_of_one_batch_keeps_its_first_posting():
     assert left == set(names.tolist())
 
 
+def test_minima_outside_the_passages_found_stay_open(spark):
+    links = spark.createDataFrame([(1, 2, 0, 60, 100, 160)], passages.SPANS)
+    tokens = spark.createDataFrame([(9, 1, 10), (9, 2, 110), (9, 1, 70), (9, 2, 20), (9, 3, 0), (9, 1, 56)], "token long, node long, c int")
+    got = {(r["node"], r["c"]): r["component"] for r in passages._open(tokens, links).collect()}
+    assert got[1, 10] == got[2, 110]
+    assert len({got[1, 10], got[1, 70], got[2, 20], got[3, 0]}) == 4 and got[1, 56] == got[1, 70]
+    with_two = {r["c"] for r in passages.in_lists(passages._open(tokens.filter("c IN (70, 20)"), links)).collect()}
+    assert with_two == {20, 70}
+
+
 def edited(text: list[str], at: int, kind: str) -> list[str]:
     return [*text[:at], *(["new"] if kind != "cut" else []), *text[at + (kind != "put") :]]
 
