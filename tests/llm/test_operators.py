@@ -163,6 +163,51 @@ def test_minima_outside_the_passages_found_stay_open(spark):
     assert with_two == {20, 70}
 
 
+def near_passages(n: int) -> list[list[str]]:
+    """Pairs of passages of 50 to 120 words just similar enough, by brute force over their shingles; every other pair amid text."""
+    rng, out = random.Random(17), []
+    cut = lambda x: {tuple(x[k : k + passages.WIDTH]) for k in range(len(x) - passages.WIDTH + 1)}
+    while len(out) < n:
+        amid = len(out) % 2
+        one = text_of(rng.randrange(10**6), rng.randint(50, 120 if amid else 54)).split()
+        two = list(one)
+        for k in range(len(one)):
+            at, last = rng.randrange(len(two)), two
+            two = [*two[:at], f"x{k}", *two[at + 1 :]]
+            if 4 * len(cut(one) & cut(two)) < 3 * len(cut(one) | cut(two)):
+                break
+        out.append([" ".join([*text_of(3 * len(out) + k, 30 * amid).split(), *x, *text_of(9000 + len(out), (5 * k + 9) * amid).split()[::-1]]) for k, x in enumerate((one, last))])
+    return out
+
+
+def test_near_passages_are_candidates():
+    made, least, apart = near_passages(1500), passages.PASSAGE - passages.WIDTH + 1, 0
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array([t for pair in made for t in pair])], ["doc_id", "text"])
+    value, ptr, names, _ = passages.sequences(batch.column("text"))
+    (rows,) = passages._postings(passages.HASHES, least)(iter([batch]))
+    tokens: dict[int, set[int]] = {}
+    for node, token in zip(rows.column("node").to_pylist(), rows.column("token").to_pylist(), strict=True):
+        tokens.setdefault(node, set()).add(token)
+    for k in range(0, 3000, 2):
+        a, b = (value[ptr[x] : ptr[x + 1]] for x in (k, k + 1))
+        apart += len(tokens[int(names[k])] & tokens[int(names[k + 1])]) < passages.AGREE or not passages.passage_pairs(a, b, least)
+    assert apart <= 3, apart
+
+
+def test_windows_of_near_passages_are_alike():
+    least, near = passages.PASSAGE - passages.WIDTH + 1, passages.alike(passages.PERCENT)
+    for k, pair in enumerate([*near_passages(40), [" ".join(["one two three"] * 30)] * 2]):
+        value, ptr, _, _ = passages.sequences(pa.array(pair))
+        window = [np.array([0, 0]), np.diff(ptr) // 2, np.diff(ptr) - 1]
+        sketch, n = passages.surroundings(value, ptr, np.array([0, 1]), *window, least)
+        side = {"n": n, "sketch": np.stack([np.frombuffer(x, np.uint64) for x in sketch])}
+        assert near(side, side, np.array([0]), np.array([1]))[0], k
+    value, ptr, _, _ = passages.sequences(pa.array([text_of(1, 70), text_of(2, 70)]))
+    sketch, n = passages.surroundings(value, ptr, np.array([0, 1]), np.array([0, 0]), np.array([30, 30]), np.diff(ptr) - 1, least)
+    side = {"n": n, "sketch": np.stack([np.frombuffer(x, np.uint64) for x in sketch])}
+    assert not near(side, side, np.array([0]), np.array([1]))[0]
+
+
 def edited(text: list[str], at: int, kind: str) -> list[str]:
     return [*text[:at], *(["new"] if kind != "cut" else []), *text[at + (kind != "put") :]]
 
