@@ -159,17 +159,25 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, percent: in
     return both.mapInArrow(run, "a long, b long")
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """node, text of these nodes (node, doc_id)."""
+def texts_of(docs: DataFrame, nodes: DataFrame, names) -> DataFrame:
+    """node, text of these nodes (node, doc_id); names gives the names of texts.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Rows are met by id; those without one are met by name, as all of them have the same id.
+    """
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):  # an id may stand for several texts
-                own = set_keys(*shingle_sets(part.column("text"), width)) == part.column("node").to_numpy()
-                yield part.filter(pa.array(own))
+                yield part.filter(pa.array(names(part.column("text")) == part.column("node").to_numpy()))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(names(part.column("text"))), part.column("text")], ["node", "text"])
 
-    found = docs.join(nodes, "doc_id").select("node", "text").mapInArrow(run, "node long, text string")
-    return found.dropDuplicates(["node"])
+    found = docs.join(nodes, "doc_id").select("node", "text").mapInArrow(own, "node long, text string")
+    bare = docs.filter("doc_id IS NULL").select("text").mapInArrow(named, "node long, text string")
+    return found.unionByName(bare.join(nodes.filter("doc_id IS NULL").select("node"), "node", "left_semi")).dropDuplicates(["node"])
 
 
 def parity_sketches(values: np.ndarray, ptr: np.ndarray) -> list[bytes]:
@@ -280,7 +288,7 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         counted = postings.filter(f"{partner} IS NOT NULL AND {partner} != node").groupBy("node", partner).agg(F.count("*").alias("k"))
         return counted.groupBy("node").agg(F.max(F.struct("k", partner)).alias("best")).select(F.col("node").alias("a"), F.col(f"best.{partner}").alias("b"))
 
-    texts = stored(_texts(rows, postings.select("node", "doc_id").distinct(), width))
+    texts = stored(texts_of(rows, postings.select("node", "doc_id").distinct(), lambda texts: set_keys(*shingle_sets(texts, width))))
     pairs = best("head").unionByName(best("before")).distinct()
     links = stored(verified(pairs, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
     sketches = made.filter("n > 0").groupBy("node").agg(F.min("sketch").alias("sketch"))

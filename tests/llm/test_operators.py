@@ -88,6 +88,18 @@ def test_jaccard_components_equal_brute_force(docs, empty):
     assert kept.columns == docs.columns
 
 
+@pytest.mark.parametrize("operator", [lambda d: jaccard.link_components(d), lambda d: passages.repeated_passages(d)])
+def test_a_text_without_an_id_joins_its_near_copies(spark, operator):
+    base = text_of(31, 200).split()
+    step = lambda k, n: " ".join([*(f"a{j}" for j in range(k)), *base[k : 200 - n], *(f"b{j}" for j in range(n))])
+    if operator(spark.createDataFrame([], "doc_id long, text string")).columns[1] == "n_shingles":
+        texts = [(1, step(24, 0)), (None, step(0, 0)), (2, step(0, 24))]  # 1 and 2 are apart, both are near the middle one
+    else:
+        texts = [(1, " ".join(base[:80])), (None, step(0, 0)), (2, " ".join(base[120:]))]
+    got = operator(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert [r["class_id" if "class_id" in r else "component_id"] for r in got] == [1, 1, 1]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 180)] + [(7, 7)]
     got = dict(components.connected_components(spark.createDataFrame(links, "src long, dst long")).collect())
