@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +49,8 @@ def slot(gram: np.ndarray) -> np.ndarray:
 class Index:
     """The grams of a block of items, for lookups by position."""
 
-    def __init__(self, items: list[tuple[int, bytes]], rate: float) -> None:
-        self.ids = np.array([i for i, _ in items], np.int64)
+    def __init__(self, items: list[tuple[int | None, bytes]], rate: float) -> None:
+        self.ids = [i for i, _ in items]
         self.texts = [normal(np.frombuffer(t, np.uint8)) for _, t in items]
         self.sizes = np.array([len(t) for t in self.texts], np.int64)
         # the lemma needs one shared gram at least, so the budget of a short item is lower
@@ -159,20 +159,19 @@ def occurrences(index: Index, data: np.ndarray, ptr: np.ndarray) -> Iterator[tup
             yield d, i, begin + got[1], begin + got[2], got[0]
 
 
-def _blocks(spark: SparkSession, benchmark: DataFrame, most: int) -> list[list[tuple[int, bytes]]]:
-    """The items in blocks of bounded size, one block on the driver at a time would be enough; each is a stated query set."""
-    blocks, size = [[]], 0
+def _blocks(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int | None, bytes]]]:
+    """The items in blocks of bounded size, one of them on the driver at a time; equal items are one, a NULL item_id stays NULL."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    for item, text in rows.filter(F.length("text") > 0).dropDuplicates().orderBy("item_id", "text").toLocalIterator():
+    block, size = [], 0
+    for item, text in rows.filter(F.octet_length("text") >= Q).dropDuplicates().orderBy("item_id", "text").toLocalIterator():
         raw = text.encode()
-        if len(raw) < Q:
-            continue
-        if size + len(raw) > most and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((item, raw))
+        if size + len(raw) > most and block:
+            yield block
+            block, size = [], 0
+        block.append((item, raw))
         size += len(raw)
-    return [b for b in blocks if b]
+    if block:
+        yield block
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -185,7 +184,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, start long, end long, edits long"
     result = None
-    for block in _blocks(spark, benchmark, block_bytes):
+    for block in _blocks(benchmark, block_bytes):
         shared = spark.sparkContext.broadcast((block, rate))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -198,7 +197,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
                     for d, i, start, end, edits in occurrences(index, normal(raw), ptr):
                         text = raw[ptr[d] : ptr[d + 1]]
                         points = np.cumsum((text[:end] & 0xC0) != 0x80)
-                        rows.append((ids[d], int(index.ids[i]), int(points[start - 1]) if start else 0, int(points[end - 1]), edits))
+                        rows.append((ids[d], index.ids[i], int(points[start - 1]) if start else 0, int(points[end - 1]), edits))
                     if rows:
                         columns = list(zip(*rows, strict=True))
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "start", "end", "edits"])
@@ -211,7 +210,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs, with all their columns, whose text holds no item of the benchmark."""
     kept = docs
-    for block in _blocks(docs.sparkSession, benchmark, block_bytes):
+    for block in _blocks(benchmark, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast((block, rate))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

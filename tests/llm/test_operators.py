@@ -354,6 +354,16 @@ def test_decontamination_equals_brute_force(spark, empty):
     assert left == set(range(len(texts))) - {d for d, _ in expected}
 
 
+def test_decontamination_takes_one_block_at_a_time_and_items_without_an_id(spark):
+    items = [(None, text_of(61, 20)), (1, text_of(62, 20)), (2, text_of(63, 20))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    blocks = decontamination._blocks(benchmark, 10)
+    assert next(blocks) == [(None, items[0][1].encode())] and len(list(blocks)) == 2
+    docs = spark.createDataFrame([(7, f"{text_of(64, 9)} {items[0][1]}"), (8, items[2][1])], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, benchmark).collect()} == {(7, None), (8, 2)}
+    assert decontamination.drop_leaks(docs, benchmark).count() == 0
+
+
 @pytest.mark.parametrize("model", [toxicity, quality])
 def test_classifiers_on_edge_cases(spark, docs, empty, model):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
