@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontamination, fingerprints, jaccard, language_model, mixing, passages, quality, sharding, suffixes, toxicity
+from riskmart.llm import (
+    decontamination,
+    fingerprints,
+    hard_negatives,
+    jaccard,
+    language_model,
+    merkle,
+    mixing,
+    owners,
+    passages,
+    quality,
+    sharding,
+    suffixes,
+    toxicity,
+)
 from riskmart.llm.words import crc_of_id, plain
 
 
@@ -103,8 +117,45 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of texts equal but for A-Z and a-z that each document is in, and which row of it stays."""
+    return owners.owners(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For vectors whose id is divisible by 50: the hardest allowed negatives of each of their positives."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and whether each document, some without their line ends, still gives its root."""
+    docs = documents(spark, sf_dir)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    changed = merkle.leaf_digest(*(tampered if c == "text" else F.col(c) for c in merkle.FIELDS))
+    made = merkle.manifest(docs, changed=changed).withColumn("folded_root", merkle.folded(F.col("changed"), F.col("proof")))
+    proof = merkle.digest(merkle.proof_text(F.col("proof"))).alias("proof_sha256")
+    return made.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_language_model, op3_passages, op4_quality, op5_suffix_dedup, op6_jaccard_join, op7_mixing, op8_toxicity, op9_sharding, op10_decontamination)
+    f.__name__: f
+    for f in (
+        op1_fingerprints,
+        op2_language_model,
+        op3_passages,
+        op4_quality,
+        op5_suffix_dedup,
+        op6_jaccard_join,
+        op7_mixing,
+        op8_toxicity,
+        op9_sharding,
+        op10_decontamination,
+        op11_owners,
+        op12_hard_negatives,
+        op13_merkle,
+    )
 }
 
 
