@@ -14,7 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.functions.draws import copy_thresholds, draw, selected
+from riskmart.functions.draws import chosen, copy_thresholds, draw, rounds, start
 from riskmart.operators.cleaning import Horizon, midnight
 from riskmart.specs import TableSpec
 
@@ -44,16 +44,33 @@ def settled(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
 
 
+def with_draws(df: DataFrame, row_id: Column, **seeds: int) -> DataFrame:
+    """Add a draw per name and seed, round by round.
+
+    Nothing is shared between expressions inside a generator either, and a draw written out holds the id six times,
+    its first round four times. So each round is settled before the next one uses it.
+    """
+    rows = settled(df, _start=start(row_id))
+    steps = {name: rounds(seed) for name, seed in seeds.items()}
+    held = ["_start"]
+    for k in range(3):
+        last = {name: F.col(f"_{k - 1}_{name}") if k else F.col("_start") for name in seeds}
+        made = {name if k == 2 else f"_{k}_{name}": steps[name][k](last[name], F.col("_start")) for name in seeds}
+        rows = settled(rows, **made)
+        held += made if k < 2 else []
+    return rows.drop(*held)
+
+
 def inject_nulls(
     df: DataFrame, row_id: Column, rate: float, seed: int = 0, columns: Iterable[str] | None = None
 ) -> DataFrame:
     """Null out each column on its own at the given rate."""
     columns = list(columns or df.columns)
     hit = {name: f"_null_{i}" for i, name in enumerate(columns)}
-    rows = settled(df, **{flag: selected(row_id, seed + i, rate) for i, flag in enumerate(hit.values())})
+    rows = with_draws(df, row_id, **{drawn: seed + i for i, drawn in enumerate(hit.values())})
     return rows.select(
         *(
-            F.when(F.col(hit[n]), F.lit(None)).otherwise(F.col(n)).alias(n) if n in hit else F.col(n)
+            F.when(chosen(F.col(hit[n]), rate), F.lit(None)).otherwise(F.col(n)).alias(n) if n in hit else F.col(n)
             for n in df.columns
         )
     )
@@ -68,13 +85,12 @@ def inject_bad_dates(
     years: tuple[int, ...] = BAD_YEARS,
 ) -> DataFrame:
     """Replace dates by midnight of some day in one of the impossible years."""
-    year = _pick(draw(row_id, seed + 1), years)
-    month = _within(draw(row_id, seed + 2), 1, 13).cast("int")
-    day = _within(draw(row_id, seed + 3), 1, 29).cast("int")
+    rows = with_draws(df, row_id, _hit=seed, _year=seed + 1, _month=seed + 2, _day=seed + 3)
+    month, day = _within(F.col("_month"), 1, 13).cast("int"), _within(F.col("_day"), 1, 29).cast("int")
     zero = F.lit(0)
-    bad = F.make_timestamp_ntz(year, month, day, zero, zero, zero)
-    rows = settled(df, _bad_date=F.when(selected(row_id, seed, rate), bad))
-    return rows.withColumn(date_column, F.coalesce("_bad_date", date_column)).drop("_bad_date")
+    bad = F.make_timestamp_ntz(_pick(F.col("_year"), years), month, day, zero, zero, zero)
+    kept = F.when(chosen(F.col("_hit"), rate), bad).otherwise(F.col(date_column))
+    return settled(rows, _date=kept).withColumn(date_column, F.col("_date")).drop("_hit", "_year", "_month", "_day", "_date")
 
 
 def inject_duplicates(
@@ -84,20 +100,23 @@ def inject_duplicates(
     seed: int = 200,
     at_least_one: bool = True,
     copy_column: str | None = None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Draw rows with replacement and append the drawn copies, in one pass over the rows.
 
     ``at_least_one`` also copies the row with the smallest draw, which matters
-    for tiny tables only and costs a second scan of the id. ``copy_column``
-    keeps the number of the copy, 0 for the original row.
+    for tiny tables only and costs a second scan of the id; ``ids`` may name a
+    frame to take ``row_id`` from that is cheaper to scan. ``copy_column`` keeps
+    the number of the copy, 0 for the original row.
     """
     drawn, number = F.col("_draw"), copy_column or "_copy"
-    rows = settled(df, _draw=draw(row_id, seed))
+    rows = with_draws(df, row_id, _draw=seed)
     copies = F.lit(0)
     for limit in copy_thresholds(rate):
         copies = copies + F.when(drawn < F.lit(limit), F.lit(1)).otherwise(F.lit(0))
     if at_least_one:
-        smallest = rows.agg(F.min(drawn)).scalar()
+        only_ids = (df if ids is None else ids).select(row_id.alias("_id"))
+        smallest = with_draws(only_ids, F.col("_id"), _draw=seed).agg(F.min(drawn)).scalar()
         copies = F.greatest(copies, F.when(drawn == smallest, F.lit(1)).otherwise(F.lit(0)))
     # The count is a column of its own: inside the generator nothing is shared between expressions.
     counted = rows.withColumn(number, F.coalesce(copies, F.lit(0))).drop("_draw")
@@ -111,8 +130,8 @@ def inject_outliers(
     """Scale some amounts up."""
     kind = df.schema["amount"].dataType
     large = (F.col("amount") * F.lit(Decimal(factor))).cast(kind)
-    rows = settled(df, _outlier=selected(row_id, seed, rate))
-    return rows.withColumn("amount", F.when(F.col("_outlier"), large).otherwise(F.col("amount"))).drop("_outlier")
+    rows = with_draws(df, row_id, _outlier=seed)
+    return rows.withColumn("amount", F.when(chosen(F.col("_outlier"), rate), large).otherwise(F.col("amount"))).drop("_outlier")
 
 
 def burst_rows(
@@ -184,4 +203,5 @@ def inject_defects(
     out = inject_nulls(out, hidden, rates.nulls, seed, df.columns)
     if rates.bad_dates:
         out = inject_bad_dates(out, spec.date_column, hidden, rates.bad_dates, seed + 100)
-    return inject_duplicates(out, hidden, rates.duplicates, seed + 200, at_least_one).drop("_row_id")
+    ids = df.select(row_id.alias("_row_id"))
+    return inject_duplicates(out, hidden, rates.duplicates, seed + 200, at_least_one, ids=ids).drop("_row_id")

@@ -148,3 +148,18 @@ def test_rows_are_copied_as_often_as_they_are_drawn(spark):
     copies = [r["count"] - 1 for r in out.groupBy("row").count().collect()]
     assert max(copies) > 4
     assert abs(sum(copies) / 20_000 - 2.0) < 0.06
+
+
+def test_each_draw_is_computed_once(spark, sf_dir):
+    """Every draw takes one modulus a round, whatever it is used for; the start takes one per operator."""
+    dirty = defects.inject_defects(table(spark, sf_dir, "transactions"), WIDE["transactions"], row_id("transactions"))
+    plan = dirty._jdf.queryExecution().optimizedPlan().toString()
+    outliers, nulls, dates, copies = 1 + 3, 1 + 3 * len(WIDE["transactions"].columns), 1 + 3 * 4 + 3, 1 + 3
+    assert plan.count("pmod(") <= outliers + nulls + dates + 2 * copies
+
+
+def test_rounds_make_the_draw(ids):
+    rows = defects.with_draws(ids, F.col("row") * 7 - 50, a=0, b=401)
+    want = ids.select(*(draw(F.col("row") * 7 - 50, s).alias("d") for s in (0, 401)))
+    assert rows.columns == ["row", "a", "b"]
+    assert sorted(map(tuple, rows.select("a", "b").collect())) == sorted(map(tuple, want.collect()))
