@@ -2,16 +2,22 @@
 
 The count of suspicious rows compares every amount with a multiple of the
 client's own mean. A client may own a large share of all rows, so no step
-gathers the rows of one client in one task:
-
-* totals per client are combined before their shuffle;
-* hot clients are found by their share of all rows. At most ``hot_limit``
-  clients can hold 1/``hot_limit`` of the rows each, so their totals are small
-  enough to broadcast whatever the table size, and their rows are never shuffled;
-* rows of the other clients, of which no client has more than that share, are
-  shuffled once to meet the totals. Before that shuffle a row must pass the
-  lowest threshold of its bucket of clients: a fixed number of buckets, hence a
-  broadcast of fixed size, which drops most rows that cannot be suspicious.
+gathers the rows of one client in one task.
+
+First the rows of a client are summed up per band of amounts (quarters of a
+power of two), which is a plain aggregate with map-side combine; a client's
+bands then become one row with a short list. Most bands lie wholly above or
+below the client's threshold, by their least and largest amount, and up to
+three rows of a band are known from least, largest and sum. What is left is at
+most one band per flagged client, and only the rows of these bands are read
+again (``method="bands"``):
+
+* bands with a large share of all rows are few, so their thresholds are
+  broadcast whatever the table size, and their rows are never shuffled;
+* the others pass a Bloom filter over (client, band) of fixed greatest size and
+  are shuffled once to meet their thresholds.
+
+``method="salt"`` is the plain form: one join of all rows with the totals.
 """
 
 from __future__ import annotations
@@ -24,13 +30,22 @@ from pyspark.sql import functions as F
 from riskmart.functions.risk import AMOUNT_FACTOR, exceeds_mean, mean
 
 HOT_LIMIT = 10_000
-#: Totals of hot clients are broadcast; there are at most as many as the limit says.
+#: Thresholds of hot bands are broadcast; there are at most as many as the limit says.
 MOST_HOT = 100_000
 ROWS_PER_SALT = 1_000_000
 SALT_ON = ("transaction_id", "amount")
-BUCKETS = 262_144
 CLIENT = "client_id"
 
+#: Bands per power of two, and the band of all amounts that have no logarithm.
+BANDS, LOW_BAND = 4, -1_000
+#: A band of so many rows is known from its least amount, its largest and its sum.
+KNOWN_ROWS = 3
+#: The Bloom filter: blocks of 512 words, bits set per key, bits per key asked for, and the greatest number of blocks,
+#: which makes 64 MB. Beyond that the filter lets more rows pass; results do not change.
+WORDS, PROBES, BITS_PER_KEY, MOST_BLOCKS = 512, 4, 12, 16_384
+
+MONEY, SUM = "decimal(15,2)", "decimal(25,2)"
+
 
 def client_totals(tx: DataFrame) -> DataFrame:
     """Row count, amount count, sum and maximum per client."""
@@ -42,25 +57,78 @@ def client_totals(tx: DataFrame) -> DataFrame:
     )
 
 
-def _flagged(totals: DataFrame, factor: float) -> DataFrame:
-    """Clients whose largest amount is suspicious, i.e. those with a count above zero."""
-    return totals.where(
-        exceeds_mean(F.col("max_transaction_amount"), F.col("amount_count"), F.col("amount_sum"), factor)
+def band_of(amount: Column) -> Column:
+    """The band of an amount. Spark's logarithm is the same on all machines; only that matters, not where a band ends."""
+    known = F.when(amount > 0, F.floor(F.log2(amount.cast("double")) * BANDS).cast("int")).otherwise(F.lit(LOW_BAND))
+    return F.when(amount.isNotNull(), known)
+
+
+def client_bands(tx: DataFrame) -> DataFrame:
+    """Per client the list of its bands: rows, amounts, sum, least and largest of each.
+
+    All that later steps use comes out of the list, the client as well. So no filter or projection of theirs reaches
+    the aggregate, its plan is the same in every branch, and its shuffle is made once.
+    """
+    per_band = tx.groupBy(CLIENT, band_of(F.col("amount")).alias("band")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("amount").alias("k"),
+        F.sum("amount").cast(SUM).alias("s"),
+        F.min("amount").alias("low"),
+        F.max("amount").alias("high"),
     )
+    entry = F.struct(CLIENT, "band", "n", "k", "s", "low", "high")
+    bands = per_band.groupBy(CLIENT).agg(F.collect_list(entry).alias("bands")).select("bands")
+    return bands.select(F.col("bands")[0][CLIENT].alias(CLIENT), "bands")
 
 
-def _with_amounts(totals: DataFrame) -> DataFrame:
-    """Clients with any amount at all. Naming every total keeps the aggregate below whole, so
-    that its shuffle is the one shared by all branches instead of a second, narrower one."""
-    known = F.col("amount_sum").isNotNull() & F.col("max_transaction_amount").isNotNull()
-    return totals.where((F.col("amount_count") > 0) & known)
+def _folded(of: str, kind: str) -> Column:
+    return F.expr(f"aggregate(bands, cast(0 AS {kind}), (a, b) -> cast(a + coalesce(b.{of}, 0) AS {kind}))")
 
 
-def _is_hot(rows: Column, tx: DataFrame, hot_limit: int) -> Column:
+def band_profile(tx: DataFrame, factor: float) -> DataFrame:
+    """Per client: totals, the suspicious rows that bands tell (`sure`), and the band that has to be read again (`open`).
+
+    `open` holds band and rows, and is NULL where nothing is left to read, which includes rows without a client.
+    """
+    totals = client_bands(tx).select(
+        CLIENT,
+        "bands",
+        _folded("n", "bigint").alias("total_transactions"),
+        _folded("k", "bigint").alias("amount_count"),
+        F.expr("array_max(transform(bands, b -> b.high))").alias("max_transaction_amount"),
+        _folded("s", SUM).alias("known_sum"),
+    )
+    # A sum of no amounts is NULL, as in any aggregate.
+    rows = totals.withColumn("amount_sum", F.when(F.col("amount_count") > 0, F.col("known_sum")))
+
+    def above(value: str) -> str:
+        return f"{value} * amount_count > amount_sum * {Decimal(str(factor))}BD"
+
+    # Least and largest differ here, so a band of two or three rows holds one at least on each side.
+    middle = f"if(b.k = {KNOWN_ROWS} AND {above('cast(b.s - b.low - b.high AS ' + MONEY + ')')}, 1L, 0L)"
+    known = f"CASE WHEN b.k IS NULL OR b.k = 0 THEN 0L WHEN {above('b.low')} THEN b.k WHEN NOT {above('b.high')} THEN 0L WHEN b.k <= {KNOWN_ROWS} THEN 1L + {middle} ELSE 0L END"
+    unsettled = f"filter(bands, b -> b.k > {KNOWN_ROWS} AND {above('b.high')} AND NOT {above('b.low')})"
+    has_client = F.col(CLIENT).isNotNull()
+    return rows.select(
+        CLIENT,
+        "total_transactions",
+        "amount_count",
+        "amount_sum",
+        "max_transaction_amount",
+        F.when(has_client, F.expr(f"aggregate(bands, 0L, (a, b) -> a + {known})")).otherwise(F.lit(0).cast("bigint")).alias("sure"),
+        F.when(has_client, F.expr(f"transform({unsettled}, b -> named_struct('band', b.band, 'n', b.n))")).alias("open"),
+    )
+
+
+def _hot_limit(hot_limit: int) -> int:
     if not 0 < hot_limit <= MOST_HOT:
         raise ValueError(f"hot_limit must lie between 1 and {MOST_HOT}")
-    all_rows = tx.agg(F.count(F.lit(1))).scalar()
-    return rows * F.lit(hot_limit) >= all_rows
+    return hot_limit
+
+
+def _is_hot(rows: Column, totals: DataFrame, hot_limit: int) -> Column:
+    """Whether so many rows are 1/hot_limit of all or more. All rows are counted from the totals, without another scan."""
+    return rows * F.lit(_hot_limit(hot_limit)) >= totals.agg(F.sum("total_transactions")).scalar()
 
 
 def _count_suspicious(rows: DataFrame, totals: DataFrame, on: list[str], factor: float) -> DataFrame:
@@ -72,37 +140,64 @@ def _count_suspicious(rows: DataFrame, totals: DataFrame, on: list[str], factor:
     )
 
 
-def _bucket() -> Column:
-    """Never NULL, and stated so: a null check inferred from the join would give the totals
-    below it a plan of their own instead of the shared one."""
-    return F.coalesce(F.pmod(F.xxhash64(CLIENT), F.lit(BUCKETS)), F.lit(0)).alias("bucket")
+def _probes() -> list[Column]:
+    """The bits of a key in its block: PROBES values in [0, 64 * WORDS)."""
+    return [F.pmod(F.xxhash64(CLIENT, "band", F.lit(k)), F.lit(64 * WORDS)) for k in range(1, PROBES + 1)]
 
 
-def _candidates(rows: DataFrame, flagged: DataFrame, factor: float) -> DataFrame:
-    """Rows above the lowest threshold of their bucket; no suspicious row is lost.
+def _block(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(CLIENT, "band"), blocks)
 
-    Rounding moves a threshold by no more than half a cent, so a whole cent is
-    taken off. Buckets without a flagged client lose all their rows.
-    """
-    lowest = F.round(F.col("amount_sum") * F.lit(Decimal(str(factor))) / F.col("amount_count"), 2)
-    floors = flagged.groupBy(_bucket()).agg(F.min(lowest - F.lit(Decimal("0.01"))).alias("floor"))
-    passing = rows.withColumn("bucket", _bucket()).join(F.broadcast(floors), "bucket")
-    return passing.where(F.col("amount") > F.col("floor")).select(CLIENT, "amount")
 
+def _bloom_blocks(keys: DataFrame) -> Column:
+    """How many blocks the filter has: it follows the number of keys up to a limit, so its table has a greatest size."""
+    asked = F.ceil(F.count(F.lit(1)) * F.lit(BITS_PER_KEY) / F.lit(64 * WORDS)) + 1
+    return keys.agg(F.least(F.lit(MOST_BLOCKS), asked).cast("bigint")).scalar()
+
+
+def bloom_filter(keys: DataFrame) -> DataFrame:
+    """A Bloom filter over (client, band) as a table: a row per block, with the words of its bits."""
+    bits = keys.select(_block(_bloom_blocks(keys)).alias("block"), F.explode(F.array(*_probes())).alias("bit"))
+    words = bits.groupBy("block", F.shiftright("bit", 6).cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(bit & 63)))").alias("mask"))
+    by_block = words.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("masks"))
+    return by_block.select("block", F.expr(f"transform(sequence(0, {WORDS - 1}), w -> coalesce(masks[w], 0L))").alias("words"))
 
-def _suspicious_by_split(
-    tx: DataFrame, totals: DataFrame, factor: float, hot_limit: int
-) -> DataFrame:
-    rows = tx.select(CLIENT, "amount")
-    hot = _is_hot(F.col("total_transactions"), tx, hot_limit)
-    flagged = _flagged(totals, factor)
-    keep = [CLIENT, "amount_count", "amount_sum"]
-    hot_keys = _with_amounts(totals).where(hot).select(CLIENT)
-    from_hot = _count_suspicious(rows, F.broadcast(flagged.where(hot).select(*keep)), [CLIENT], factor)
-    cold = flagged.where(~hot)
-    cold_rows = _candidates(rows, cold, factor).join(F.broadcast(hot_keys), CLIENT, "left_anti")
-    from_cold = _count_suspicious(cold_rows, cold.select(*keep), [CLIENT], factor)
-    return from_hot.unionByName(from_cold)
+
+def passing(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose (client, band) may be among the keys; none that is gets lost."""
+    hit = F.lit(True)
+    for bit in _probes():
+        word = F.get("words", F.shiftright(bit, 6).cast("int"))
+        hit = hit & (F.call_function("shiftright", word, F.pmod(bit, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    met = rows.withColumn("block", _block(_bloom_blocks(keys))).join(F.broadcast(bloom_filter(keys)), "block")
+    return met.where(hit).select(*rows.columns)
+
+
+def _suspicious_by_bands(tx: DataFrame, profile: DataFrame, hot_limit: int, factor: float) -> DataFrame:
+    """Suspicious rows per client among the rows of open bands."""
+    rows = tx.select(CLIENT, "amount", band_of(F.col("amount")).alias("band")).where(F.col(CLIENT).isNotNull() & F.col("band").isNotNull())
+    left = profile.select(CLIENT, "amount_count", "amount_sum", F.inline("open"))
+    hot = _is_hot(F.col("n"), profile, hot_limit)
+    on = [CLIENT, "band"]
+    from_hot = _count_suspicious(rows, F.broadcast(left.where(hot).drop("n")), on, factor)
+    cold = left.where(~hot).drop("n")
+    from_cold = _count_suspicious(passing(rows, cold), cold, on, factor)
+    both = from_hot.unionByName(from_cold)
+    return both.groupBy(CLIENT).agg(F.sum("suspicious_transaction_count").alias("reread"))
+
+
+def _flagged(totals: DataFrame, factor: float) -> DataFrame:
+    """Clients whose largest amount is suspicious, i.e. those with a count above zero."""
+    return totals.where(
+        exceeds_mean(F.col("max_transaction_amount"), F.col("amount_count"), F.col("amount_sum"), factor)
+    )
+
+
+def _with_amounts(totals: DataFrame) -> DataFrame:
+    """Clients with any amount at all. Naming every total keeps the aggregate below whole, so
+    that its shuffle is the one shared by all branches instead of a second, narrower one."""
+    known = F.col("amount_sum").isNotNull() & F.col("max_transaction_amount").isNotNull()
+    return totals.where((F.col("amount_count") > 0) & known)
 
 
 def _suspicious_by_salt(
@@ -114,7 +209,7 @@ def _suspicious_by_salt(
     amount are used, to keep the scan narrow. Identical rows share a salt. The result
     is not needed in join order, so adaptive execution may still split their partition.
     """
-    hot = _is_hot(F.col("total_transactions"), tx, hot_limit)
+    hot = _is_hot(F.col("total_transactions"), totals, hot_limit)
     salts = F.when(hot, F.ceil(F.col("total_transactions") / F.lit(rows_per_salt))).otherwise(F.lit(1))
     spread = _with_amounts(totals).where(hot).select(CLIENT, salts.alias("salts"))
     content = F.xxhash64(*(F.col(c) for c in tx.columns if c in SALT_ON))
@@ -130,22 +225,17 @@ def _suspicious_by_salt(
     return _count_suspicious(rows, salted, [CLIENT, "salt"], factor)
 
 
-def _with_suspicious(
-    tx: DataFrame,
-    factor: float,
-    method: str,
-    hot_limit: int,
-    rows_per_salt: int,
-) -> DataFrame:
-    """Totals plus suspicious count for all known clients (rows without a client left out)."""
-    known = tx.where(F.col(CLIENT).isNotNull())
-    totals = client_totals(known)
-    if method == "split":
-        counts = _suspicious_by_split(known, totals, factor, hot_limit)
-    elif method == "salt":
-        counts = _suspicious_by_salt(known, totals, factor, hot_limit, rows_per_salt)
-    else:
-        raise ValueError(f"method must be 'split' or 'salt', not {method!r}")
+def _profile_by_bands(tx: DataFrame, factor: float, hot_limit: int) -> DataFrame:
+    profile = band_profile(tx, factor)
+    counts = _suspicious_by_bands(tx, profile, hot_limit, factor)
+    total = F.col("sure") + F.coalesce("reread", F.lit(0))
+    return profile.join(counts, CLIENT, "left").withColumn("suspicious_transaction_count", total)
+
+
+def _profile_by_salt(tx: DataFrame, factor: float, hot_limit: int, rows_per_salt: int) -> DataFrame:
+    totals = client_totals(tx)
+    known = totals.where(F.col(CLIENT).isNotNull())
+    counts = _suspicious_by_salt(tx.where(F.col(CLIENT).isNotNull()), known, factor, hot_limit, rows_per_salt)
     return totals.join(counts, CLIENT, "left").withColumn(
         "suspicious_transaction_count", F.coalesce("suspicious_transaction_count", F.lit(0))
     )
@@ -154,7 +244,7 @@ def _with_suspicious(
 def tx_profile(
     tx: DataFrame,
     factor: float = AMOUNT_FACTOR,
-    method: str = "split",
+    method: str = "bands",
     keep_unknown: bool = True,
     hot_limit: int = HOT_LIMIT,
     rows_per_salt: int = ROWS_PER_SALT,
@@ -166,12 +256,13 @@ def tx_profile(
     by equality, which NULL does not satisfy. ``keep_unknown=False`` leaves that
     group out for callers that join it away anyhow.
     """
-    profile = _with_suspicious(tx, factor, method, hot_limit, rows_per_salt)
-    if keep_unknown:
-        unknown = client_totals(tx.where(F.col(CLIENT).isNull())).withColumn(
-            "suspicious_transaction_count", F.lit(0).cast("bigint")
-        )
-        profile = profile.unionByName(unknown)
+    rows = tx if keep_unknown else tx.where(F.col(CLIENT).isNotNull())
+    if method == "bands":
+        profile = _profile_by_bands(rows, factor, hot_limit)
+    elif method == "salt":
+        profile = _profile_by_salt(rows, factor, hot_limit, rows_per_salt)
+    else:
+        raise ValueError(f"method must be 'bands' or 'salt', not {method!r}")
     n, total, top = F.col("amount_count"), F.col("amount_sum"), F.col("max_transaction_amount")
     return profile.select(
         CLIENT,

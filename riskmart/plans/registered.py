@@ -411,7 +411,7 @@ QUERIES: dict[str, Query] = {
     "fraud_dashboard_unfiltered": q_fraud_dashboard_unfiltered,
     "tx_profile": q_tx_profile,
     "login_profile": q_login_profile,
-    "suspicious_count": suspicious_query("split"),
+    "suspicious_count": suspicious_query("bands"),
     "suspicious_count_join": suspicious_query("salt"),
     "risk_flags": q_risk_flags,
     "risk_score": q_risk_score,

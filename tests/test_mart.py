@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskmart import CLIENTS
 from riskmart.operators.mart import fraud_dashboard
+from riskmart.operators import profiles
 from riskmart.operators.profiles import login_profile, suspicious_count, tx_profile
 
 AMOUNTS = {
@@ -129,33 +130,76 @@ def test_invariants_on_tables(spark, sf_dir):
     assert mart.where(~F.col("risk_score").isin(0, 2, 3)).isEmpty()
 
 
-def test_totals_are_shuffled_once_and_hot_route_vanishes(spark, sf_dir):
-    """With tables too large to broadcast and no hot client: one totals shuffle, reused; one shuffle of candidate rows."""
-    from riskmart.sources.bench_tables import table
+def spread_amounts(spark, clients, n):
+    """Log-normal amounts whose scale differs by client; every third row is of client 1."""
+    u, v = (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << 30)) / (1 << 30) for k in (1, 2))
+    client = F.when(F.col("id") % 3 == 0, 1).otherwise(F.pmod(F.xxhash64("id"), F.lit(clients)))
+    scale = F.pow(F.lit(10.0), F.pmod(F.xxhash64("client_id"), F.lit(300)) / 100)
+    amount = scale * 20 * F.exp(0.8 * F.sqrt(-2 * F.log(u + 1e-9)) * F.cos(6.283185307 * v))
+    rows = spark.range(n).withColumn("client_id", client)
+    return rows.select(F.col("id").alias("transaction_id"), "client_id", amount.cast("decimal(15,2)").alias("amount"))
+
+
+@pytest.fixture(scope="module")
+def spread(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("spread") / "tx")
+    spread_amounts(spark, 1_500, 200_000).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_few_rows_are_read_again(spread):
+    """Rows that pass on to the second shuffle stay below the suspicious ones, however many clients share a block."""
+    profile = profiles.band_profile(spread, 3).select("client_id", F.inline("open"))
+    suspicious = suspicious_count(spread).agg(F.sum("suspicious_transaction_count")).first()[0]
+    rows = spread.select("client_id", "amount", profiles.band_of(F.col("amount")).alias("band"))
+    cold = profile.where("client_id <> 1").select("client_id", "band")
+    assert 0 < profiles.passing(rows, cold).count() < suspicious
+    assert profile.where("client_id <> 1").agg(F.sum("n")).first()[0] <= profiles.passing(rows, cold).count()
+    assert profile.agg(F.sum("n")).first()[0] < suspicious
+
 
+def test_a_full_bloom_filter_loses_nothing(spread, monkeypatch):
+    want = {tuple(r) for r in suspicious_count(spread, method="salt").collect()}
+    monkeypatch.setattr(profiles, "MOST_BLOCKS", 1)
+    monkeypatch.setattr(profiles, "WORDS", 1)
+    for hot_limit in (1, 100, 100_000):
+        assert {tuple(r) for r in suspicious_count(spread, hot_limit=hot_limit).collect()} == want
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan ==\n   ")[0]
+
+
+def test_rows_are_summed_up_once(spark, spread):
+    """One scan and one shuffle by band and one by client serve all branches; the second scan is of the rows read again."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        mart = tx_profile(table(spark, sf_dir, "transactions"), hot_limit=1).where("client_id IS NOT NULL")
-        mart.collect()
-        plan = mart._jdf.queryExecution().executedPlan().toString().split("Initial Plan ==\n   Union")[0]
+        plan = executed(tx_profile(spread, hot_limit=1))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("ReusedExchange") == 2
-    assert plan.count("o_custkey#") > 0 and "LeftAnti" not in plan
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    assert sum("partial_collect_list(struct(client_id" in line for line in plan.splitlines()) == 1
 
 
-def test_hot_clients_meet_their_totals_by_broadcast(spark, sf_dir):
-    """With every client hot, no row is shuffled by client before it is counted."""
+def test_nothing_is_read_again_where_bands_tell_all(spark, sf_dir):
+    """With ten orders a client no band holds more rows than are known from its least, largest and sum."""
     from riskmart.sources.bench_tables import table
 
-    profile = tx_profile(table(spark, sf_dir, "transactions"), hot_limit=100_000)
+    plan = executed(tx_profile(table(spark, sf_dir, "transactions")))
+    assert plan.count("FileScan") == 1
+
+
+def test_hot_bands_meet_their_thresholds_by_broadcast(spark, spread):
+    """With every band hot, no row is shuffled by client before it is counted."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert profile.agg(F.sum("suspicious_transaction_count")).first()[0] > 0
-        plan = profile._jdf.queryExecution().executedPlan().toString()
+        plan = executed(tx_profile(spread, hot_limit=100_000))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "LeftAnti, BuildRight" in plan and "Inner, BuildRight" in plan
+    assert "BroadcastHashJoin [client_id" in plan
+    assert not any("Exchange hashpartitioning(client_id" in line and "band#" in line and "_groupingexpression" not in line for line in plan.splitlines())
 
 
 def test_unknown_method(spark):
