@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from riskmart.operators.cleaning import DEFAULT_HORIZON, Horizon
 from riskmart.plans import daily
 from riskmart.session import build_session
-from riskmart.sinks.serving import ParquetTarget
+from riskmart.sinks.serving import ParquetTarget, VersionedTarget
 from riskmart.sources.messages import FileLog, KafkaLog
 from riskmart.streaming.ingest import ingest_all
 
@@ -41,6 +41,8 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--min-partitions", type=int, help="read tasks of a topic at least, which splits a hot topic partition")
     parser.add_argument("--catalog", help="name prefix under which the layers are registered, with statistics")
     parser.add_argument("--serving", help="folder of the published mart, default <root>/serving")
+    parser.add_argument("--versions", action="store_true", help="publish to versions, so that readers never miss the mart")
+    parser.add_argument("--incremental", action="store_true", help="take in new raw files and rewrite changed months only")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="default today")
     parser.add_argument("--from", dest="start", type=dt.date.fromisoformat, default=DEFAULT_HORIZON.start)
     parser.add_argument("--until", dest="end", type=dt.date.fromisoformat, default=DEFAULT_HORIZON.end)
@@ -53,10 +55,11 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse(argv)
+    target = VersionedTarget if args.versions else ParquetTarget
     config = daily.DailyConfig(
         log=KafkaLog(args.kafka, args.prefix, min_partitions=args.min_partitions) if args.kafka else FileLog(args.files),
         root=args.root,
-        target=ParquetTarget(args.serving or f"{args.root}/serving"),
+        target=target(args.serving or f"{args.root}/serving"),
         as_of=args.as_of,
         horizon=Horizon(args.start, args.end),
         wide_ids=args.wide_ids,
@@ -64,6 +67,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         null_policy=args.null_policy,
         publish_mode=args.publish_mode,
         catalog=args.catalog,
+        incremental=args.incremental,
     )
     print(STEPS[args.step](spark or build_session(), config))
 

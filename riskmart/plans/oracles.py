@@ -371,6 +371,12 @@ ORACLES: dict[str, str] = {
     "layer_statistics": " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM ({cleaned(TYPED[n], s)})" for n, s in SPECS.items()
     ),
+    "versioned_mart": f"""
+        SELECT *, 'after_failure' AS seen FROM ({served(MART_ALL)}) WHERE risk_score = 0
+        UNION ALL SELECT *, 'after_success' AS seen FROM ({served(MART_ALL)})""",
+    "incremental_layers": rendered(
+        cleaned(at_seconds(TYPED["transactions"], TX), TX), TX, ", strftime(transaction_date, '%Y-%m') AS ym"
+    ),
     "inject_nulls": rendered(with_nulls(TYPED["clients"], CLIENTS, "client_id"), CLIENTS),
     "inject_bad_dates": rendered(
         with_bad_dates(TYPED["activity"], "activity_date", ROW_ID["activity"]), ACTIVITY

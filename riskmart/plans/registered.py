@@ -7,10 +7,12 @@ of :mod:`riskmart.specs`.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,8 +26,9 @@ from riskmart.operators.parsing import drop_incomplete, ingest_rows, parse_json
 from riskmart.operators.profiles import login_profile, suspicious_count, tx_profile
 from riskmart.operators.staging import stage
 from riskmart.plans.daily import DailyConfig, run_daily
+from riskmart.plans.incremental import clean_increment, stage_increment
 from riskmart.session import side_by_side, work_dir
-from riskmart.sinks.serving import ParquetTarget, publish, wide_schema
+from riskmart.sinks.serving import ParquetTarget, VersionedTarget, publish, wide_schema
 from riskmart.sinks.tables import (
     ensure_table,
     read_clean,
@@ -37,6 +40,7 @@ from riskmart.sinks.tables import (
     write_layer,
     write_months,
 )
+from riskmart.sinks.versions import CommitLog, VersionedFolder
 from riskmart.sources.bench_tables import BOUNDS, WIDE, row_id, stream, table
 from riskmart.sources.messages import FileLog, as_text, send, to_messages
 from riskmart.sources.raw import raw_path, raw_scan, replace_raw_view
@@ -51,6 +55,8 @@ BROKEN_RATE = 0.2
 BROKEN_SEED = 600
 BROKEN_LENGTH = 25
 BUCKETS = 16
+LAYER_SPLIT = "2000-03-10 00:00:00"
+LAYER_FIRST_DAY = dt.date(2000, 9, 20)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -213,7 +219,7 @@ def q_rebuild_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rebuild_table(spark, name, mart.where(F.col("risk_score") == 0), location)
     rebuild_table(spark, name, mart, location)
     spark.sql(f"DROP TABLE {name}")
-    return comparable(spark.read.parquet(location))
+    return comparable(VersionedFolder(location).read(spark))
 
 
 def q_bucketed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,8 +238,8 @@ def q_layer_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     def load(name: str) -> tuple[str, int]:
         spec, catalog_name = WIDE[name], f"{name}_{mark}"
         write_months(cleaned(spark, sf_dir, name), spec, f"{root}/{name}")
-        month = MONTH if spec.has_event_time else None
-        register_folder(spark, catalog_name, spec.clean_schema, f"{root}/{name}", month)
+        month = [MONTH] if spec.has_event_time else []
+        register_folder(spark, catalog_name, spec.clean_schema, f"{root}/{name}", *month)
         rows = table_rows(spark, catalog_name)
         spark.sql(f"DROP TABLE {catalog_name}")
         return name, rows
@@ -348,6 +354,36 @@ def q_serving_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_versioned_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see of the served mart after a first run, after one that fails half-way, and after a third."""
+    target = VersionedTarget(work_dir(spark, "versioned_mart"))
+    mart = unfiltered_mart(spark, sf_dir)
+    broken = F.when(F.col("risk_score") == 3, F.raise_error(F.lit("stopped"))).otherwise(F.col("risk_score"))
+    publish(mart.where(F.col("risk_score") == 0), target, schema=wide_schema())
+    with contextlib.suppress(PySparkException):
+        publish(mart.withColumn("risk_score", broken), target, schema=wide_schema())
+    after_failure = target.read(spark)
+    publish(mart, target, schema=wide_schema())
+    seen = {"after_failure": after_failure, "after_success": target.read(spark)}
+    first, second = (rows.withColumn("seen", F.lit(name)) for name, rows in seen.items())
+    return comparable(first.unionByName(second))
+
+
+def q_incremental_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of transactions, the layers brought up to date after each, and once more on a later day."""
+    spec, root = WIDE["transactions"], work_dir(spark, "incremental_layers")
+    log, lake, (horizon, as_of) = FileLog(f"{root}/log"), f"{root}/raw", BOUNDS["transactions"]
+    marks = CommitLog(f"{root}/marks/clean")
+    rows = table(spark, sf_dir, "transactions")
+    early = F.col("transaction_date") < F.lit(LAYER_SPLIT).cast("timestamp_ntz")
+    for drop, day in ((early, LAYER_FIRST_DAY), (~early, LAYER_FIRST_DAY), (F.lit(False), as_of)):
+        send(to_messages(rows.where(drop)), log, spec.name)
+        ingest_all(spark, log, [spec], lake)
+        stage_increment(spark, spec, raw_path(lake, spec), f"{root}/ods", f"{root}/marks/stage")
+        clean_increment(spark, spec, f"{root}/ods", f"{root}/dds", marks, day, horizon)
+    return comparable(read_clean(spark, spec, f"{root}/dds"))
+
+
 # Defect injection
 
 
@@ -438,6 +474,8 @@ QUERIES: dict[str, Query] = {
     "rebuild_table": q_rebuild_table,
     "bucketed_table": q_bucketed_table,
     "layer_statistics": q_layer_statistics,
+    "versioned_mart": q_versioned_mart,
+    "incremental_layers": q_incremental_layers,
     "inject_nulls": q_inject_nulls,
     "inject_bad_dates": q_inject_bad_dates,
     "inject_duplicates": q_inject_duplicates,

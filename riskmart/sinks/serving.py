@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskmart.sinks.tables import point_table
+from riskmart.sinks.versions import VersionedFolder
+
 DECIMAL = T.DecimalType(15, 2)
 
 # Columns and types of the serving table.
@@ -72,6 +75,37 @@ class ParquetTarget:
         ordered.write.mode(mode).parquet(self.path)
 
 
+@dataclass(frozen=True)
+class VersionedTarget:
+    """Like :class:`ParquetTarget`, but readers go on seeing the last published rows until new ones are whole.
+
+    They read through :meth:`read`, or through the catalog name ``table`` if one is given.
+    """
+
+    path: str
+    table: str | None = None
+
+    @property
+    def folder(self) -> VersionedFolder:
+        return VersionedFolder(self.path)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self.folder.read(spark)
+
+    def write(self, rows: DataFrame, mode: str) -> None:
+        spark, fill = rows.sparkSession, lambda path: ParquetTarget(path).write(rows, "errorifexists")
+        if mode == "append":
+            self.folder.append(spark, fill)
+        else:
+            self.folder.replace(spark, fill)
+        if self.table:
+            folders = self.folder.folders(spark)
+            if len(folders) > 1:
+                raise ValueError("a table name stands for one folder: publish with mode='overwrite'")
+            point_table(spark, self.table, rows.schema, folders[0])
+        self.folder.expire(spark)
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
     """A table behind a JDBC driver; its jar must be on the session.
@@ -132,7 +166,7 @@ class JdbcTarget:
 
 def publish(
     mart: DataFrame,
-    target: ParquetTarget | JdbcTarget,
+    target: ParquetTarget | VersionedTarget | JdbcTarget,
     mode: str = "overwrite",
     null_policy: str = "zero",
     schema: T.StructType = SERVING_SCHEMA,

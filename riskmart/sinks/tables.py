@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from riskmart.operators.cleaning import with_month
+from riskmart.sinks.versions import VersionedFolder
 from riskmart.specs import MONTH, TableSpec
 
 
@@ -62,26 +63,44 @@ def ensure_table(
     name: str,
     schema: T.StructType,
     location: str,
-    partition_by: str | None = None,
+    *partition_by: str,
 ) -> None:
     """Create an external Parquet table in the catalog unless it exists."""
-    parts = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    parts = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING parquet{parts} LOCATION '{location}'")
 
 
+def _same(a: T.StructType, b: T.StructType) -> bool:
+    return {(f.name, f.dataType) for f in a} == {(f.name, f.dataType) for f in b}
+
+
+def point_table(spark: SparkSession, name: str, schema: T.StructType, location: str, *partition_by: str) -> None:
+    """Let a catalog name stand for a written folder, whatever it stood for before.
+
+    An existing table of the same columns is switched over in the catalog, so it is never absent; only other columns
+    make it be dropped and created again. Data is not touched: the tables are external.
+    """
+    if spark.catalog.tableExists(name):
+        if _same(spark.table(name).schema, schema) and not partition_by:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    ensure_table(spark, name, schema, location, *partition_by)
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.sql(f"REFRESH TABLE {name}")
+
+
 def register_folder(
     spark: SparkSession,
     name: str,
     schema: T.StructType,
     location: str,
-    partition_by: str | None = None,
+    *partition_by: str,
     statistics: bool = True,
 ) -> None:
     """Give a written layer folder a catalog name, take in new partitions, and collect statistics."""
-    ensure_table(spark, name, schema, location, partition_by)
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
-    spark.sql(f"REFRESH TABLE {name}")
+    point_table(spark, name, schema, location, *partition_by)
     if statistics:
         analyze_table(spark, name)
 
@@ -96,9 +115,14 @@ def refresh_table(spark: SparkSession, name: str, df: DataFrame) -> None:
 
 
 def rebuild_table(spark: SparkSession, name: str, df: DataFrame, location: str) -> None:
-    """Drop and recreate a catalog table from a query."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.mode("overwrite").option("path", location).saveAsTable(name)
+    """Make a catalog table anew from a query, below a folder of versions.
+
+    The rows are written first and the name is switched afterwards: until then, and if the query fails, the table
+    holds its old rows.
+    """
+    folder = VersionedFolder(location)
+    point_table(spark, name, df.schema, folder.replace(spark, lambda path: write_layer(df, path)))
+    folder.expire(spark)
 
 
 def analyze_table(spark: SparkSession, name: str) -> None:
