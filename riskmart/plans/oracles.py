@@ -304,6 +304,24 @@ def parsed() -> str:
     return f"SELECT {columns} FROM ({text})"
 
 
+def audited() -> str:
+    """Activity messages with the reason why they do not land; key and value as sent."""
+    spec = SPECS["activity"]
+    nulls = f"SELECT * EXCLUDE (row_id) FROM ({with_nulls(TYPED['activity'], spec, ROW_ID['activity'])})"
+    text = as_text(nulls, spec)
+    odd = f"SELECT * REPLACE (CASE WHEN activity_type = 'error' THEN 'c' || client_id ELSE client_id END AS client_id) FROM ({text})"
+    fields = ", ".join(f"'{n}', {n}" for n in spec.columns)
+    absent = ", ".join(f"CASE WHEN {n} IS NULL THEN '{n}' END" for n in spec.columns)
+    return f"""
+        SELECT message_key,
+               CASE WHEN cut THEN left(body, 25) ELSE body END AS message_value,
+               CASE WHEN cut THEN 'unparsable' WHEN absent <> '' THEN 'missing ' || absent
+                    WHEN message_key LIKE 'c%' THEN 'malformed client_id' ELSE '' END AS reject_reason
+        FROM (SELECT client_id AS message_key, COALESCE(length(client_id) = 1, false) AS cut,
+                     CAST(json_object({fields}) AS VARCHAR) AS body, concat_ws(',', {absent}) AS absent
+              FROM ({odd}))"""
+
+
 def landed_counts() -> str:
     return " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, CAST(client_id AS VARCHAR) AS client_id, COUNT(*) AS landed_rows "
@@ -346,6 +364,8 @@ ORACLES: dict[str, str] = {
     "ingest_incremental": as_text(TYPED["activity"], ACTIVITY),
     "ingest_all": landed_counts(),
     "ingest_metrics": landed_metrics(),
+    "ingest_rejects": f"SELECT reject_reason, COUNT(*) AS messages FROM ({audited()}) GROUP BY 1",
+    "rejected_messages": f"SELECT reject_reason, message_key, message_value FROM ({audited()}) WHERE reject_reason <> ''",
     "raw_scan": as_text(holey("payments"), SPECS["payments"]),
     "refresh_table": rendered(TYPED["transactions"], TX),
     "month_partitions": rendered(

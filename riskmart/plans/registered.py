@@ -45,6 +45,7 @@ from riskmart.sources.bench_tables import BOUNDS, WIDE, row_id, stream, table
 from riskmart.sources.messages import FileLog, as_text, send, to_messages
 from riskmart.sources.raw import raw_path, raw_scan, replace_raw_view
 from riskmart.specs import MONTH, SPECS
+from riskmart.streaming.audit import audit_counts, rejected_rows, start_audited_ingest
 from riskmart.streaming.ingest import IngestReport, ingest_all, ingest_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,8 @@ RANGE = (dt.date(1997, 3, 10), dt.date(1997, 6, 5))
 BROKEN_RATE = 0.2
 BROKEN_SEED = 600
 BROKEN_LENGTH = 25
+#: Messages of clients whose key has so many digits are cut off in the query of rejects.
+BROKEN_KEY = 1
 BUCKETS = 16
 LAYER_SPLIT = "2000-03-10 00:00:00"
 LAYER_FIRST_DAY = dt.date(2000, 9, 20)
@@ -158,6 +161,29 @@ def q_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, messages_read long, rows_landed long")
 
 
+def _audited_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity as a stream of messages: some cut off mid-text, some with nulls, some with a client that is no number."""
+    rows = defects.inject_nulls(stream(spark, sf_dir, "activity"), row_id("activity"), WIDE["activity"].rates.nulls)
+    odd = F.when(F.col("activity_type") == "error", F.concat(F.lit("c"), F.col("client_id").cast("string")))
+    messages = to_messages(rows.withColumn("client_id", F.coalesce(odd, F.col("client_id").cast("string"))))
+    cut = F.when(F.length("key") == BROKEN_KEY, F.left("value", F.lit(BROKEN_LENGTH))).otherwise(F.col("value"))
+    return messages.withColumn("value", cut)
+
+
+def q_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per reason of their rejection, and those that land."""
+    spec, root = WIDE["activity"], work_dir(spark, "ingest_rejects")
+    start_audited_ingest(_audited_messages(spark, sf_dir), spec, f"{root}/raw", f"{root}/marks").awaitTermination()
+    return audit_counts(spark, spec, f"{root}/raw").withColumn("reject_reason", F.coalesce("reject_reason", F.lit("")))
+
+
+def q_rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected messages themselves."""
+    spec, root = WIDE["activity"], work_dir(spark, "rejected_messages")
+    start_audited_ingest(_audited_messages(spark, sf_dir), spec, f"{root}/raw", f"{root}/marks").awaitTermination()
+    return rejected_rows(spark, spec, f"{root}/raw").drop("batch")
+
+
 def q_raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = WIDE["payments"]
     path = raw_path(work_dir(spark, "raw_scan"), spec)
@@ -461,6 +487,8 @@ QUERIES: dict[str, Query] = {
     "ingest_incremental": q_ingest_incremental,
     "ingest_all": q_ingest_all,
     "ingest_metrics": q_ingest_metrics,
+    "ingest_rejects": q_ingest_rejects,
+    "rejected_messages": q_rejected_messages,
     "raw_scan": q_raw_scan,
     "refresh_table": q_refresh_table,
     "month_partitions": q_month_partitions,

@@ -7,13 +7,16 @@ run takes new messages only and a run without new messages changes nothing.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
-from collections.abc import Iterable
+import queue
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from riskmart.operators.parsing import ingest_rows
 from riskmart.sources.messages import FileLog, KafkaLog
@@ -54,45 +57,64 @@ def start_ingest(
     )
 
 
-class Tally:
-    """Sums of a running query's batches, taken from its recent progress as it goes on."""
+class BatchSums(StreamingQueryListener):
+    """Adds up the observed row counts of every batch, per run of a query.
 
-    def __init__(self, query: StreamingQuery, spec: TableSpec) -> None:
-        self.query, self.spec = query, spec
-        self.received = self.landed = 0
-        self.last = -1
+    Batches are taken from the listener's events, not from the progress a query retains, so none is missed however few
+    are retained or however fast they follow each other. A run's last event comes after those of all its batches.
+    """
 
-    def update(self) -> None:
-        for progress in self.query.recentProgress:
-            if progress.batchId <= self.last:
-                continue
-            if 0 <= self.last < progress.batchId - 1:
-                raise RuntimeError(f"{self.spec.name}: the progress of batches before {progress.batchId} is lost")
-            self.last = progress.batchId
-            metrics = progress.observedMetrics
-            self.received += metrics["received"]["rows"] if "received" in metrics else 0
-            self.landed += metrics["landed"]["rows"] if "landed" in metrics else 0
+    def __init__(self) -> None:
+        self.rows: dict[str, Counter[str]] = defaultdict(Counter)
+        self.ended: queue.Queue[str] = queue.Queue()
 
-    def report(self) -> IngestReport:
-        return IngestReport(self.spec.name, self.received, self.landed)
+    def onQueryStarted(self, event) -> None:
+        pass
 
+    def onQueryProgress(self, event) -> None:
+        for name, metric in event.progress.observedMetrics.items():
+            self.rows[str(event.progress.runId)][name] += metric["rows"]
 
-def finish_all(tallies: list[Tally], every: float = 0.1) -> None:
-    """Wait for all queries; the first failure of any is raised at once."""
-    waiting = list(tallies)
-    while waiting:
-        for tally in list(waiting):
-            ended = tally.query.awaitTermination(every / len(waiting))
-            tally.update()
-            if ended:
-                waiting.remove(tally)
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.put(str(event.runId))
+
+    def report(self, spec: TableSpec, run: str) -> IngestReport:
+        return IngestReport(spec.name, self.rows[run]["received"], self.rows[run]["landed"])
 
 
-def finish(query: StreamingQuery, spec: TableSpec) -> IngestReport:
-    """Wait for the query and add up its batches."""
-    tally = Tally(query, spec)
-    finish_all([tally])
-    return tally.report()
+def finish_all(sums: BatchSums, running: dict[str, StreamingQuery], patience: float = 60.0) -> None:
+    """Wait for all queries, by run id; the first failure of any is raised at once."""
+    waiting = dict(running)
+    while waiting:
+        try:
+            run = sums.ended.get(timeout=patience)
+        except queue.Empty:
+            if not any(query.isActive for query in waiting.values()):
+                for query in waiting.values():
+                    query.awaitTermination()
+                raise RuntimeError("the queries ended, but not all of their events arrived") from None
+            continue
+        if run in waiting:
+            waiting.pop(run).awaitTermination()
+
+
+@contextlib.contextmanager
+def scheduler_pool(spark: SparkSession, name: str) -> Iterator[None]:
+    """Jobs and queries started inside go to a scheduler pool of their own.
+
+    In fair mode Spark shares executors between pools. Without pools all queries of a thread share one, so that the
+    first topic with much to drain holds up the others.
+    """
+    context, key = spark.sparkContext, "spark.scheduler.pool"
+    before = context.getLocalProperty(key)
+    context.setLocalProperty(key, name)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(key, before)
 
 
 def checkpoint_path(root: str, spec: TableSpec) -> str:
@@ -102,18 +124,23 @@ def checkpoint_path(root: str, spec: TableSpec) -> str:
 def ingest_streams(
     spark: SparkSession, streams: Iterable[tuple[TableSpec, DataFrame]], lake: str
 ) -> dict[str, IngestReport]:
-    """Drain several message streams at once in one session; stop all when one fails."""
-    running: list[Tally] = []
+    """Drain several message streams at once in one session, each in a scheduler pool of its own; stop all when one fails."""
+    sums = BatchSums()
+    spark.streams.addListener(sums)
+    running: dict[str, StreamingQuery] = {}
+    tables: dict[str, TableSpec] = {}
     try:
         for spec, messages in streams:
-            query = start_ingest(messages, spec, raw_path(lake, spec), checkpoint_path(lake, spec))
-            running.append(Tally(query, spec))
-        finish_all(running)
-        return {tally.spec.name: tally.report() for tally in running}
+            with scheduler_pool(spark, f"ingest_{spec.name}"):
+                query = start_ingest(messages, spec, raw_path(lake, spec), checkpoint_path(lake, spec))
+            running[str(query.runId)], tables[str(query.runId)] = query, spec
+        finish_all(sums, running)
+        return {spec.name: sums.report(spec, run) for run, spec in tables.items()}
     finally:
-        for tally in running:
-            if tally.query.isActive:
-                tally.query.stop()
+        for query in running.values():
+            if query.isActive:
+                query.stop()
+        spark.streams.removeListener(sums)
 
 
 def ingest_all(
