@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskmart.functions.draws import chosen, copy_thresholds, draw, rounds, start
 from riskmart.operators.cleaning import Horizon, midnight
+from riskmart.operators.settling import settled
 from riskmart.specs import TableSpec
 
 # Impossible years, and the domains burst rows draw from.
@@ -35,15 +36,6 @@ def _within(value: Column, first: int, end: int) -> Column:
     return F.pmod(value, F.lit(end - first).cast("bigint")) + F.lit(first)
 
 
-def settled(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that are computed once per row.
-
-    A draw is some ten operations. As a plain column the optimizer would copy it into
-    every expression and pushed filter that uses it; it does not look into a generator.
-    """
-    return df.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
-
-
 def with_draws(df: DataFrame, row_id: Column, **seeds: int) -> DataFrame:
     """Add a draw per name and seed, round by round.
 

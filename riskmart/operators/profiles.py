@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.risk import AMOUNT_FACTOR, exceeds_mean, mean
+from riskmart.operators.settling import settled
 
 HOT_LIMIT = 10_000
 #: Thresholds of hot bands are broadcast; there are at most as many as the limit says.
@@ -57,10 +58,9 @@ def client_totals(tx: DataFrame) -> DataFrame:
     )
 
 
-def band_of(amount: Column) -> Column:
-    """The band of an amount. Spark's logarithm is the same on all machines; only that matters, not where a band ends."""
-    known = F.when(amount > 0, F.floor(F.log2(amount.cast("double")) * BANDS).cast("int")).otherwise(F.lit(LOW_BAND))
-    return F.when(amount.isNotNull(), known)
+def band_of() -> Column:
+    """The band of `amount`. Spark's logarithm is the same on all machines; only that matters, not where a band ends."""
+    return F.expr(f"CASE WHEN amount > 0 THEN int(floor(log2(double(amount)) * {BANDS})) WHEN amount IS NOT NULL THEN {LOW_BAND} END")
 
 
 def client_bands(tx: DataFrame) -> DataFrame:
@@ -69,20 +69,11 @@ def client_bands(tx: DataFrame) -> DataFrame:
     All that later steps use comes out of the list, the client as well. So no filter or projection of theirs reaches
     the aggregate, its plan is the same in every branch, and its shuffle is made once.
     """
-    per_band = tx.groupBy(CLIENT, band_of(F.col("amount")).alias("band")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("amount").alias("k"),
-        F.sum("amount").cast(SUM).alias("s"),
-        F.min("amount").alias("low"),
-        F.max("amount").alias("high"),
-    )
-    entry = F.struct(CLIENT, "band", "n", "k", "s", "low", "high")
-    bands = per_band.groupBy(CLIENT).agg(F.collect_list(entry).alias("bands")).select("bands")
-    return bands.select(F.col("bands")[0][CLIENT].alias(CLIENT), "bands")
-
-
-def _folded(of: str, kind: str) -> Column:
-    return F.expr(f"aggregate(bands, cast(0 AS {kind}), (a, b) -> cast(a + coalesce(b.{of}, 0) AS {kind}))")
+    sums = ("count(1) AS n", "count(amount) AS k", f"cast(sum(amount) AS {SUM}) AS s", "min(amount) AS low", "max(amount) AS high")
+    per_band = tx.groupBy(CLIENT, band_of().alias("band")).agg(*map(F.expr, sums))
+    entry = ", ".join(f"'{name}', {name}" for name in (CLIENT, "band", "n", "k", "s", "low", "high"))
+    bands = per_band.groupBy(CLIENT).agg(F.expr(f"collect_list(named_struct({entry})) AS bands"))
+    return bands.selectExpr(f"bands[0].{CLIENT} AS {CLIENT}", "bands")
 
 
 def band_profile(tx: DataFrame, factor: float) -> DataFrame:
@@ -90,34 +81,43 @@ def band_profile(tx: DataFrame, factor: float) -> DataFrame:
 
     `open` holds band and rows, and is NULL where nothing is left to read, which includes rows without a client.
     """
-    totals = client_bands(tx).select(
-        CLIENT,
-        "bands",
-        _folded("n", "bigint").alias("total_transactions"),
-        _folded("k", "bigint").alias("amount_count"),
-        F.expr("array_max(transform(bands, b -> b.high))").alias("max_transaction_amount"),
-        _folded("s", SUM).alias("known_sum"),
-    )
-    # A sum of no amounts is NULL, as in any aggregate.
-    rows = totals.withColumn("amount_sum", F.when(F.col("amount_count") > 0, F.col("known_sum")))
+
+    def folded(of: str, kind: str) -> str:
+        return f"aggregate(bands, cast(0 AS {kind}), (a, b) -> cast(a + coalesce(b.{of}, 0) AS {kind}))"
 
     def above(value: str) -> str:
         return f"{value} * amount_count > amount_sum * {Decimal(str(factor))}BD"
 
-    # Least and largest differ here, so a band of two or three rows holds one at least on each side.
-    middle = f"if(b.k = {KNOWN_ROWS} AND {above('cast(b.s - b.low - b.high AS ' + MONEY + ')')}, 1L, 0L)"
-    known = f"CASE WHEN b.k IS NULL OR b.k = 0 THEN 0L WHEN {above('b.low')} THEN b.k WHEN NOT {above('b.high')} THEN 0L WHEN b.k <= {KNOWN_ROWS} THEN 1L + {middle} ELSE 0L END"
-    unsettled = f"filter(bands, b -> b.k > {KNOWN_ROWS} AND {above('b.high')} AND NOT {above('b.low')})"
-    has_client = F.col(CLIENT).isNotNull()
-    return rows.select(
-        CLIENT,
-        "total_transactions",
-        "amount_count",
-        "amount_sum",
-        "max_transaction_amount",
-        F.when(has_client, F.expr(f"aggregate(bands, 0L, (a, b) -> a + {known})")).otherwise(F.lit(0).cast("bigint")).alias("sure"),
-        F.when(has_client, F.expr(f"transform({unsettled}, b -> named_struct('band', b.band, 'n', b.n))")).alias("open"),
+    totals = settled(
+        client_bands(tx),
+        total_transactions=folded("n", "bigint"),
+        amount_count=folded("k", "bigint"),
+        known_sum=folded("s", SUM),
+        max_transaction_amount="array_max(transform(bands, b -> b.high))",
+    )
+    # A sum of no amounts is NULL, as in any aggregate.
+    edges = settled(
+        totals,
+        amount_sum="if(amount_count > 0, known_sum, NULL)",
+        edge=f"if(amount_count > 0, double(known_sum) * {float(factor)}D / amount_count, NULL)",
+        margin=f"if(amount_count > 0, abs(double(known_sum) * {float(factor)}D / amount_count) * 1e-9D + 1e-9D, NULL)",
+    )
+    # Doubles settle all bands but the one or two near the threshold; these are compared exactly.
+    near = settled(
+        edges,
+        near="filter(bands, b -> b.k > 0 AND double(b.high) >= edge - margin AND double(b.low) <= edge + margin)",
+        clear="aggregate(bands, 0L, (a, b) -> a + if(b.k > 0 AND double(b.low) > edge + margin, b.k, 0L))",
+    )
+    # Least and largest lie on both sides here, so one of two or three rows is above; the third is told by the sum.
+    middle = f"if(b.k = {KNOWN_ROWS} AND {above(f'cast(b.s - b.low - b.high AS {MONEY})')}, 1L, 0L)"
+    known = f"CASE WHEN {above('b.low')} THEN b.k WHEN NOT {above('b.high')} THEN 0L WHEN b.k <= {KNOWN_ROWS} THEN 1L + {middle} ELSE 0L END"
+    unsettled = f"filter(near, b -> b.k > {KNOWN_ROWS} AND {above('b.high')} AND NOT {above('b.low')})"
+    found = settled(
+        near,
+        sure=f"if({CLIENT} IS NULL, 0L, coalesce(clear + aggregate(near, 0L, (a, b) -> a + {known}), 0L))",
+        open=f"if({CLIENT} IS NULL, NULL, transform({unsettled}, b -> named_struct('band', b.band, 'n', b.n)))",
     )
+    return found.select(CLIENT, "total_transactions", "amount_count", "amount_sum", "max_transaction_amount", "sure", "open")
 
 
 def _hot_limit(hot_limit: int) -> int:
@@ -140,42 +140,39 @@ def _count_suspicious(rows: DataFrame, totals: DataFrame, on: list[str], factor:
     )
 
 
-def _probes() -> list[Column]:
-    """The bits of a key in its block: PROBES values in [0, 64 * WORDS)."""
-    return [F.pmod(F.xxhash64(CLIENT, "band", F.lit(k)), F.lit(64 * WORDS)) for k in range(1, PROBES + 1)]
+def _probe(k: int) -> str:
+    """The k-th bit of a key in its block, in [0, 64 * WORDS)."""
+    return f"pmod(xxhash64({CLIENT}, band, {k}), {64 * WORDS}L)"
 
 
 def _block(blocks: Column) -> Column:
-    return F.pmod(F.xxhash64(CLIENT, "band"), blocks)
+    return F.pmod(F.xxhash64(CLIENT, "band"), blocks).alias("block")
 
 
 def _bloom_blocks(keys: DataFrame) -> Column:
     """How many blocks the filter has: it follows the number of keys up to a limit, so its table has a greatest size."""
-    asked = F.ceil(F.count(F.lit(1)) * F.lit(BITS_PER_KEY) / F.lit(64 * WORDS)) + 1
-    return keys.agg(F.least(F.lit(MOST_BLOCKS), asked).cast("bigint")).scalar()
+    return keys.agg(F.expr(f"bigint(least({MOST_BLOCKS}, count(1) * {BITS_PER_KEY} div {64 * WORDS} + 1))")).scalar()
 
 
-def bloom_filter(keys: DataFrame) -> DataFrame:
+def bloom_filter(keys: DataFrame, blocks: Column) -> DataFrame:
     """A Bloom filter over (client, band) as a table: a row per block, with the words of its bits."""
-    bits = keys.select(_block(_bloom_blocks(keys)).alias("block"), F.explode(F.array(*_probes())).alias("bit"))
-    words = bits.groupBy("block", F.shiftright("bit", 6).cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(bit & 63)))").alias("mask"))
-    by_block = words.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("masks"))
-    return by_block.select("block", F.expr(f"transform(sequence(0, {WORDS - 1}), w -> coalesce(masks[w], 0L))").alias("words"))
+    bits = keys.select(_block(blocks), F.expr(f"explode(array({', '.join(map(_probe, range(PROBES)))})) AS bit"))
+    words = bits.groupBy("block", F.expr("int(shiftright(bit, 6)) AS word")).agg(F.expr("bit_or(shiftleft(1L, int(bit & 63))) AS mask"))
+    by_block = words.groupBy("block").agg(F.expr("map_from_entries(collect_list(struct(word, mask))) AS masks"))
+    return by_block.selectExpr("block", f"transform(sequence(0, {WORDS - 1}), w -> coalesce(masks[w], 0L)) AS words")
 
 
 def passing(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows whose (client, band) may be among the keys; none that is gets lost."""
-    hit = F.lit(True)
-    for bit in _probes():
-        word = F.get("words", F.shiftright(bit, 6).cast("int"))
-        hit = hit & (F.call_function("shiftright", word, F.pmod(bit, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1)
-    met = rows.withColumn("block", _block(_bloom_blocks(keys))).join(F.broadcast(bloom_filter(keys)), "block")
-    return met.where(hit).select(*rows.columns)
+    blocks = _bloom_blocks(keys)
+    hits = (f"(shiftright(get(words, int(shiftright({_probe(k)}, 6))), int({_probe(k)} & 63)) & 1) = 1" for k in range(PROBES))
+    met = rows.select("*", _block(blocks)).join(F.broadcast(bloom_filter(keys, blocks)), "block")
+    return met.where(" AND ".join(hits)).select(*rows.columns)
 
 
 def _suspicious_by_bands(tx: DataFrame, profile: DataFrame, hot_limit: int, factor: float) -> DataFrame:
     """Suspicious rows per client among the rows of open bands."""
-    rows = tx.select(CLIENT, "amount", band_of(F.col("amount")).alias("band")).where(F.col(CLIENT).isNotNull() & F.col("band").isNotNull())
+    rows = tx.select(CLIENT, "amount", band_of().alias("band")).where(f"{CLIENT} IS NOT NULL AND band IS NOT NULL")
     left = profile.select(CLIENT, "amount_count", "amount_sum", F.inline("open"))
     hot = _is_hot(F.col("n"), profile, hot_limit)
     on = [CLIENT, "band"]
