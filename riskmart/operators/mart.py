@@ -33,6 +33,11 @@ def fraud_dashboard(
         tx_profile(transactions, factor, keep_unknown=False, **options),
         login_profile(logins),
     )
+    return finished(joined, login_limit)
+
+
+def finished(joined: DataFrame, login_limit: int = LOGIN_LIMIT) -> DataFrame:
+    """Flags and score of clients that have met their profiles, in the columns of the mart."""
     flagged = joined.withColumn("activity_risk", activity_risk(F.col("login_count"), login_limit))
     return flagged.select(
         "client_id",

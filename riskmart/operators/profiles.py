@@ -18,6 +18,8 @@ again (``method="bands"``):
   are shuffled once to meet their thresholds.
 
 ``method="salt"`` is the plain form: one join of all rows with the totals.
+``method="local"`` is for bucketed tables without hot clients, see
+:mod:`riskmart.plans.colocated`.
 """
 
 from __future__ import annotations
@@ -229,6 +231,21 @@ def _profile_by_bands(tx: DataFrame, factor: float, hot_limit: int) -> DataFrame
     return profile.join(counts, CLIENT, "left").withColumn("suspicious_transaction_count", total)
 
 
+def hot_clients(rows: DataFrame, hot_limit: int = HOT_LIMIT) -> DataFrame:
+    """Clients with 1/hot_limit of all rows or more; there are at most hot_limit of them."""
+    counts = rows.groupBy(CLIENT).agg(F.count(F.lit(1)).alias("total_transactions"))
+    return counts.where(_is_hot(F.col("total_transactions"), counts, hot_limit) & F.col(CLIENT).isNotNull()).select(CLIENT)
+
+
+def _profile_by_client(tx: DataFrame, factor: float) -> DataFrame:
+    """For rows that lie together by client already: every step stays in the partition of the client."""
+    totals = client_totals(tx)
+    counts = _count_suspicious(tx.select(CLIENT, "amount"), totals.select(CLIENT, "amount_count", "amount_sum"), [CLIENT], factor)
+    return totals.join(counts, CLIENT, "left").withColumn(
+        "suspicious_transaction_count", F.coalesce("suspicious_transaction_count", F.lit(0))
+    )
+
+
 def _profile_by_salt(tx: DataFrame, factor: float, hot_limit: int, rows_per_salt: int) -> DataFrame:
     totals = client_totals(tx)
     known = totals.where(F.col(CLIENT).isNotNull())
@@ -258,8 +275,10 @@ def tx_profile(
         profile = _profile_by_bands(rows, factor, hot_limit)
     elif method == "salt":
         profile = _profile_by_salt(rows, factor, hot_limit, rows_per_salt)
+    elif method == "local":
+        profile = _profile_by_client(rows, factor)
     else:
-        raise ValueError(f"method must be 'bands' or 'salt', not {method!r}")
+        raise ValueError(f"method must be 'bands', 'salt' or 'local', not {method!r}")
     n, total, top = F.col("amount_count"), F.col("amount_sum"), F.col("max_transaction_amount")
     return profile.select(
         CLIENT,

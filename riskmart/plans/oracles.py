@@ -344,6 +344,7 @@ IN_RANGE = "payment_date >= TIMESTAMP '1997-03-10' AND payment_date < TIMESTAMP
 ORACLES: dict[str, str] = {
     "fraud_dashboard": MART_CLEAN,
     "fraud_dashboard_unfiltered": MART_ALL,
+    "colocated_mart": MART_ALL,
     "tx_profile": f"""
         SELECT * REPLACE (CAST(max_transaction_amount AS DOUBLE) AS max_transaction_amount)
         FROM ({profile(TYPED["transactions"])})""",

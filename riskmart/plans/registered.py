@@ -25,6 +25,7 @@ from riskmart.operators.mart import fraud_dashboard
 from riskmart.operators.parsing import drop_incomplete, ingest_rows, parse_json
 from riskmart.operators.profiles import login_profile, suspicious_count, tx_profile
 from riskmart.operators.staging import stage
+from riskmart.plans.colocated import colocated_dashboard, drop_colocated, write_colocated
 from riskmart.plans.daily import DailyConfig, run_daily
 from riskmart.plans.incremental import clean_increment, stage_increment
 from riskmart.session import side_by_side, work_dir
@@ -327,6 +328,18 @@ def q_fraud_dashboard_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(unfiltered_mart(spark, sf_dir))
 
 
+def q_colocated_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unfiltered mart over bucketed tables; some clients count as hot at any size."""
+    root, mark = work_dir(spark, "colocated_mart"), uuid.uuid4().hex
+    names = {name: f"{name}_{mark}" for name in ("clients", "transactions", "logins")}
+    for name, catalog_name in names.items():
+        write_colocated(table(spark, sf_dir, name), catalog_name, f"{root}/{name}", BUCKETS, hot_limit=1_000)
+    write_layer(colocated_dashboard(spark, names), f"{root}/mart")
+    for catalog_name in names.values():
+        drop_colocated(spark, catalog_name)
+    return comparable(spark.read.parquet(f"{root}/mart"))
+
+
 def q_risk_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unfiltered_mart(spark, sf_dir).select("client_id", "financial_risk", "activity_risk")
 
@@ -475,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "login_profile": q_login_profile,
     "suspicious_count": suspicious_query("bands"),
     "suspicious_count_join": suspicious_query("salt"),
+    "colocated_mart": q_colocated_mart,
     "risk_flags": q_risk_flags,
     "risk_score": q_risk_score,
     **{f"stage_{name}": stage_query(name) for name in WIDE},

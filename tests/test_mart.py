@@ -205,3 +205,52 @@ def test_hot_bands_meet_their_thresholds_by_broadcast(spark, spread):
 def test_unknown_method(spark):
     with pytest.raises(ValueError, match="method"):
         tx_profile(transactions(spark, []), method="window")
+
+
+@pytest.fixture
+def laid_out(spark, spread, tmp_path):
+    """Transactions, logins and clients in buckets, two of the clients hot; and rows without a client."""
+    from riskmart.plans import colocated
+
+    none = spark.createDataFrame([(1, None, Decimal(5)), (2, None, Decimal(500))], spread.schema)
+    frames = {
+        "transactions": spread.unionByName(none),
+        "logins": spread.where("amount > 400").select("client_id"),
+        "clients": spark.range(1, 1_400).select(
+            F.col("id").alias("client_id"), F.lit("A").alias("client_first_name"), F.lit("B").alias("client_last_name")
+        ),
+    }
+    names = {name: f"laid_{name}" for name in frames}
+    for name, rows in frames.items():
+        colocated.write_colocated(rows, names[name], str(tmp_path / name), 4, hot_limit=2_300 if name != "clients" else 1)
+    yield frames, names
+    for name in names.values():
+        colocated.drop_colocated(spark, name)
+
+
+def test_mart_over_buckets_shuffles_no_client(spark, laid_out):
+    from riskmart.plans.colocated import colocated_dashboard
+
+    frames, names = laid_out
+    assert spark.table("laid_transactions_spread").select("client_id").distinct().count() > 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mart = colocated_dashboard(spark, names)
+        got = sorted(map(repr, mart.collect()))
+        plan = executed(mart)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted(map(repr, fraud_dashboard(frames["clients"], frames["transactions"], frames["logins"]).collect()))
+    # What follows a shuffle by client is made of the spread tables alone, and meets the clients by broadcast.
+    main = plan.splitlines()
+    assert any("SortMergeJoin [client_id" in line and "LeftOuter" in line for line in main)
+    cold = [k for k, line in enumerate(main) if "FileScan" in line and "laid_" in line and "_cold" in line]
+    assert len(cold) == 4
+    for k in cold:
+        depth, above = main[k].index("FileScan"), []
+        for line in reversed(main[:k]):
+            place = len(line) - len(line.lstrip(" :+-*"))
+            if place < depth:
+                above.append(line)
+                depth = place
+        assert not any("Exchange hashpartitioning" in line for line in above)
