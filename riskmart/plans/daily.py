@@ -14,7 +14,7 @@ from riskmart.operators.staging import stage
 from riskmart.plans import incremental
 from riskmart.session import side_by_side
 from riskmart.sinks.serving import SERVING_SCHEMA, JdbcTarget, ParquetTarget, VersionedTarget, publish, wide_schema
-from riskmart.sinks.tables import read_clean, register_folder, write_layer, write_months
+from riskmart.sinks.tables import analyze_partitions, partition_rows, read_clean, register_folder, write_layer, write_months
 from riskmart.sinks.versions import CommitLog, VersionedFolder
 from riskmart.sources.messages import FileLog, KafkaLog
 from riskmart.sources.raw import raw_path, raw_scan, replace_raw_view
@@ -82,21 +82,25 @@ def load_staging(spark: SparkSession, config: DailyConfig) -> None:
     side_by_side(spark, load, config.specs().values())
 
 
-def load_clean(spark: SparkSession, config: DailyConfig) -> None:
-    def load(spec: TableSpec) -> None:
+def load_clean(spark: SparkSession, config: DailyConfig) -> dict[str, list[str] | None]:
+    """Months written per table; None where all of a table was."""
+
+    def load(spec: TableSpec) -> list[str] | None:
         horizon, as_of = config.dates(spec.name)
         ods, folder = f"{config.layer('ods')}/{spec.name}", config.folder("dds", spec.name)
         if config.grows(spec):
             marks = CommitLog(f"{config.layer('marks')}/clean/{spec.name}")
-            incremental.clean_increment(spark, spec, ods, folder.path, marks, as_of, horizon)
-        elif config.incremental:
+            return incremental.clean_increment(spark, spec, ods, folder.path, marks, as_of, horizon)
+        if config.incremental:
             incremental.clean_keyed(spark, spec, ods, folder, as_of)
         else:
             staged = config.folder("ods", spec.name).read(spark, spec.typed_schema)
             folder.replace(spark, lambda new: write_months(clean(staged, spec, as_of, horizon), spec, new))
             folder.expire(spark)
+        return None
 
-    side_by_side(spark, load, config.specs().values())
+    specs = config.specs()
+    return dict(zip(specs, side_by_side(spark, load, specs.values()), strict=True))
 
 
 def clean_layer(spark: SparkSession, config: DailyConfig, name: str) -> DataFrame:
@@ -119,24 +123,38 @@ def publish_mart(spark: SparkSession, config: DailyConfig) -> bool:
     return publish(mart, config.target, config.publish_mode, config.null_policy, schema)
 
 
-def register_layers(spark: SparkSession, config: DailyConfig, prefix: str = "", statistics: bool = True) -> None:
+def register_layers(
+    spark: SparkSession,
+    config: DailyConfig,
+    prefix: str = "",
+    statistics: bool = True,
+    months: Mapping[str, list[str] | None] | None = None,
+) -> None:
     """Catalog names for all layers, for SQL users: ``<prefix>ods_*``, ``dds_*``, ``dm_fraud_dashboard``.
 
     Names are switched to the present version of a layer. Raw folders become session views, see
-    :func:`replace_raw_view`.
+    :func:`replace_raw_view`. Of an incremental layer only the ``months`` just written are counted for statistics
+    (where that is not known, those without any); typed increments are not read again at all.
     """
     for name, spec in config.specs().items():
         replace_raw_view(spark, spec, raw_path(config.layer("raw"), spec), f"{prefix}raw_{name}")
         month = [MONTH] if spec.has_event_time else []
         if config.incremental:
             ods, parts = f"{config.layer('ods')}/{name}", incremental.staged_partitions(spec)
-            register_folder(spark, f"{prefix}ods_{name}", incremental.staged_schema(spec), ods, *parts, statistics=statistics)
+            register_folder(spark, f"{prefix}ods_{name}", incremental.staged_schema(spec), ods, *parts, statistics=False)
         else:
             (ods,) = config.folder("ods", name).folders(spark)
             register_folder(spark, f"{prefix}ods_{name}", spec.typed_schema, ods, statistics=statistics)
         dds = config.folder("dds", name)
         location = dds.path if config.grows(spec) else dds.folders(spark)[0]
-        register_folder(spark, f"{prefix}dds_{name}", spec.clean_schema, location, *month, statistics=statistics)
+        grows = config.grows(spec)
+        register_folder(spark, f"{prefix}dds_{name}", spec.clean_schema, location, *month, statistics=statistics and not grows)
+        if statistics and grows:
+            known = partition_rows(spark, f"{prefix}dds_{name}", MONTH)
+            written = (months or {}).get(name)
+            fresh = set(known if months and written is None else written or ())
+            missing = {m for m, n in known.items() if n is None}
+            analyze_partitions(spark, f"{prefix}dds_{name}", MONTH, sorted((fresh | missing) & set(known)))
     (mart,) = config.folder("dm", "fraud_dashboard").folders(spark)
     register_folder(spark, f"{prefix}dm_fraud_dashboard", spark.read.parquet(mart).schema, mart, statistics=statistics)
 
@@ -145,9 +163,9 @@ def run_daily(spark: SparkSession, config: DailyConfig) -> dict[str, IngestRepor
     """Ingest new messages, then refresh staging, clean layer and mart, then publish."""
     reports = ingest_all(spark, config.log, config.specs().values(), config.layer("raw"))
     load_staging(spark, config)
-    load_clean(spark, config)
+    months = load_clean(spark, config)
     load_mart(spark, config)
     if config.catalog is not None:
-        register_layers(spark, config, config.catalog)
+        register_layers(spark, config, config.catalog, months=months)
     publish_mart(spark, config)
     return reports

@@ -30,6 +30,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.scheduler.mode": "FAIR",
+    # Statistics of the registered layers reach the planner.
+    "spark.sql.cbo.enabled": "true",
 }
 
 

@@ -9,12 +9,13 @@ file is split over several.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from riskmart.operators.cleaning import with_month
-from riskmart.sinks.versions import VersionedFolder
+from riskmart.sinks.versions import VersionedFolder, children, qualified
 from riskmart.specs import MONTH, TableSpec
 
 
@@ -77,20 +78,35 @@ def _same(a: T.StructType, b: T.StructType) -> bool:
 def point_table(spark: SparkSession, name: str, schema: T.StructType, location: str, *partition_by: str) -> None:
     """Let a catalog name stand for a written folder, whatever it stood for before.
 
-    An existing table of the same columns is switched over in the catalog, so it is never absent; only other columns
-    make it be dropped and created again. Data is not touched: the tables are external.
+    An existing table of the same columns is switched over in the catalog, so it is never absent; other columns, or
+    partitions in another folder, make it be dropped and created again. Data is not touched: the tables are external.
     """
     if spark.catalog.tableExists(name):
-        if _same(spark.table(name).schema, schema) and not partition_by:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        else:
+        at = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()[1]
+        moved = at != qualified(spark, location)
+        if not _same(spark.table(name).schema, schema) or moved and partition_by:
             spark.sql(f"DROP TABLE {name}")
+        elif moved:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     ensure_table(spark, name, schema, location, *partition_by)
-    if partition_by:
+    if len(partition_by) == 1:
+        sync_partitions(spark, name, location, partition_by[0])
+    elif partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.sql(f"REFRESH TABLE {name}")
 
 
+def sync_partitions(spark: SparkSession, name: str, location: str, column: str) -> None:
+    """Add and drop partitions as the folder has them. Unlike a repair it leaves the statistics of the others alone."""
+    found = {n.split("=", 1)[1] for n in children(spark, location) if n.startswith(f"{column}=")}
+    known = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    for verb, values in (("ADD IF NOT EXISTS", found - known), ("DROP IF EXISTS", known - found)):
+        if values:
+            separator = " " if verb.startswith("ADD") else ", "
+            parts = separator.join(f"PARTITION (`{column}` = '{v}')" for v in sorted(values))
+            spark.sql(f"ALTER TABLE {name} {verb} {parts}")
+
+
 def register_folder(
     spark: SparkSession,
     name: str,
@@ -125,6 +141,28 @@ def rebuild_table(spark: SparkSession, name: str, df: DataFrame, location: str)
     folder.expire(spark)
 
 
+def analyze_partitions(spark: SparkSession, name: str, column: str, values: Iterable[str]) -> None:
+    """Row counts and sizes of some partitions, and of the whole table; other partitions keep theirs.
+
+    The whole is counted from file footers, no column is read. The cost-based optimizer takes its row count from there.
+    """
+    for value in values:
+        spark.sql(f"ANALYZE TABLE {name} PARTITION (`{column}` = '{value}') COMPUTE STATISTICS")
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+
+
+def partition_rows(spark: SparkSession, name: str, column: str) -> dict[str, int | None]:
+    """Rows per partition as the collected statistics have them, without reading the table; None where there are none."""
+    out: dict[str, int | None] = {}
+    for (part,) in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        value = part.split("=", 1)[1]
+        told = spark.sql(f"DESCRIBE EXTENDED {name} PARTITION (`{column}` = '{value}')").where("col_name = 'Partition Statistics'")
+        text = told.select("data_type").first()
+        found = re.search(r"(\d+) rows", text[0]) if text else None
+        out[value] = int(found[1]) if found else None
+    return out
+
+
 def analyze_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 

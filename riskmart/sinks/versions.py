@@ -22,11 +22,23 @@ def _file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as the catalog writes it."""
+    files, place = _file_system(spark, path)
+    return files.makeQualified(place).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     files, place = _file_system(spark, path)
     return files.exists(place)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    files, place = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, place = _file_system(spark, path)
     files.delete(place, True)
@@ -104,9 +116,7 @@ class VersionedFolder:
         named = {name for _, record in records[-keep:] for name in record["folders"]}
         for seq, _ in records[:-keep]:
             delete(spark, f"{self.log.path}/seq={seq}")
-        files, place = _file_system(spark, self.path)
-        found = [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
-        for name in found:
+        for name in children(spark, self.path):
             if name.startswith("v-") and name not in named:
                 delete(spark, f"{self.path}/{name}")
 

@@ -207,6 +207,9 @@ def test_incremental_runs_equal_a_full_refresh(spark, tmp_path):
         a, b = (daily.clean_layer(spark, c, name).select(*spec.columns) for c in (grown, whole))
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty()
         assert spark.table(f"g_dds_{name}").count() == a.count()
+        if spec.has_event_time:
+            want = {r[MONTH]: r["count"] for r in spark.table(f"g_dds_{name}").groupBy(MONTH).count().collect()}
+            assert tables.partition_rows(spark, f"g_dds_{name}", MONTH) == want
         spark.sql(f"DROP TABLE g_ods_{name}")
         spark.sql(f"DROP TABLE g_dds_{name}")
     assert spark.table("g_dm_fraud_dashboard").count() == 3
@@ -245,3 +248,29 @@ def test_a_failed_mart_leaves_the_old_one(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(daily, "fraud_dashboard", broken)
     run_daily(spark, config)
     assert config.target.read(spark).count() == 3
+
+
+def test_only_written_months_are_counted_again(spark, tmp_path, monkeypatch):
+    """A second run analyzes the months it wrote; a plan over the table has its row count."""
+    layers, analyzed = Layers(spark, tmp_path), []
+    real = tables.analyze_partitions
+    monkeypatch.setattr(daily, "analyze_partitions", lambda s, t, c, v: (analyzed.append(list(v)), real(s, t, c, analyzed[-1]))[1])
+    config = DailyConfig(FileLog("none"), str(tmp_path), serving.VersionedTarget("none"), incremental=True)
+    monkeypatch.setattr(daily, "SPECS", {"transactions": TRANSACTIONS})
+    monkeypatch.setattr(daily, "replace_raw_view", lambda *_: None)
+    config.folder("dm", "fraud_dashboard").replace(spark, lambda path: spark.range(1).write.parquet(path))
+    ods, dds = f"{tmp_path}/ods/transactions", f"{tmp_path}/dds/transactions"
+    for rows in ([payment(1, dt.date(2024, 1, 5)), payment(2, dt.date(2024, 2, 5))], [payment(3, dt.date(2024, 2, 6))]):
+        layers.drop(rows, "x")
+        incremental.stage_increment(spark, TRANSACTIONS, f"{tmp_path}/raw", ods, f"{tmp_path}/check")
+        months = incremental.clean_increment(spark, TRANSACTIONS, ods, dds, layers.log, dt.date(2024, 5, 1), HORIZON)
+        daily.register_layers(spark, config, "g_", months={"transactions": months})
+    assert analyzed == [["2024-01", "2024-02"], ["2024-02"]]
+    assert tables.partition_rows(spark, "g_dds_transactions", MONTH) == {"2024-01": 1, "2024-02": 2}
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    try:
+        assert spark.table("g_dds_transactions")._jdf.queryExecution().optimizedPlan().stats().rowCount().get() == 3
+    finally:
+        spark.conf.unset("spark.sql.cbo.enabled")
+        for table in ("g_ods_transactions", "g_dds_transactions", "g_dm_fraud_dashboard"):
+            spark.sql(f"DROP TABLE {table}")
