@@ -310,8 +310,9 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
 
     Of rows that repeat an id with the same text one stays; rows without an id all stay, as nothing tells them apart.
     """
-    groups = link_components(docs.filter(F.col("doc_id").isNotNull()), width, percent)
-    heads = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct()
-    kept = docs.join(heads, F.col("doc_id") == F.col("__head"), "left_semi")
-    once = kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
-    return once.unionByName(docs.filter(F.col("doc_id").isNull()))
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("`doc_id`").cast("long").alias("id"), F.col("`text`").alias("body"))
+    groups = link_components(plain(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull()), width, percent)
+    heads = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    kept = row.filter("id IS NOT NULL").join(heads, "id", "left_semi").select("row", "id", "body")
+    once = kept.withColumn("digest", F.xxhash64("body")).dropDuplicates(["id", "digest"]).select("row")
+    return once.unionByName(row.filter("id IS NULL").select("row")).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -21,6 +21,10 @@ from riskmart.llm.words import SPACES, buffers, pieces, plain
 
 #: Most documents of one flight; a source has as many flights as it needs.
 FLIGHT = 4096
+#: Units that a source's last flight leaves to the landing, besides its own rest.
+RESERVE = 12
+#: What a document too many or too few weighs in the landing, as a share of a document's words.
+DOCUMENT = 0.05
 #: A target stops at so many times the source's size.
 MOST = 3.0
 #: Weights of the sources by code point, repeating.
@@ -112,16 +116,15 @@ def flight(size: np.ndarray, chance: np.ndarray, order: np.ndarray) -> np.ndarra
 
 
 def landing(size: np.ndarray, chance: np.ndarray) -> np.ndarray:
-    """Set what is left of a source to 0 or 1: of all ways (four at most) the one nearest in tokens, then in documents."""
+    """Set what is left of a source to 0 or 1: of all ways (a few thousand) the one nearest in tokens and documents."""
     p = chance.copy()
     left = np.flatnonzero((p > 0) & (p < 1))
-    best = None
-    for mask in range(1 << len(left)):
-        bits = np.array([mask >> i & 1 for i in range(len(left))], float)
-        cost = (abs(float(((bits - chance[left]) * size[left]).sum())), abs(float((bits - chance[left]).sum())), mask)
-        if best is None or cost < best[0]:
-            best = (cost, bits)
-    p[left] = best[1]
+    if not len(left):
+        return p
+    ways = np.arange(1 << len(left))[:, None] >> np.arange(len(left)) & 1
+    off = ways - p[left]
+    cost = np.abs(off @ size[left].astype(float)) + DOCUMENT * size[left].mean() * np.abs(off.sum(1))
+    p[left] = ways[int(np.argmin(cost))]
     return p
 
 
@@ -132,7 +135,9 @@ def _fly(last: bool):
         rank = group.column("rank").to_numpy()
         order = np.lexsort((size, keys["copy"].to_numpy(), keys["doc_id"].fillna(-1).to_numpy(), rank))
         size, chance = size[order], chance[order]
-        p = flight(size, chance, np.arange(len(size)))
+        # The two units that a flight leaves may be large; a few more beside them make a landing that comes near.
+        flying = max(0, len(size) - RESERVE) if last else len(size)
+        p = flight(size, chance, np.arange(flying))
         p = landing(size, p) if last else p
         out = np.empty(len(p))
         out[order] = p
@@ -203,10 +208,11 @@ def take_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
 
     Where rows repeat an id, its counts go to them from the largest down.
     """
-    times = mix(docs, weights, most, flight_size).groupBy(F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_list("times"), asc=False).alias("__times"))
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("source", "text"), "text"))
-    numbered = docs.withColumn("__place", place)
-    joined = numbered.join(times, numbered["doc_id"].cast("long").eqNullSafe(times["__id"]))
-    n = F.element_at("__times", F.col("__place"))
-    repeated = joined.filter(n > 0).withColumn("__again", F.explode(F.sequence(F.lit(1).cast("long"), n)))
-    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))
+    times = mix(plain(docs, "doc_id", "text", "source"), weights, most, flight_size)
+    counts = times.groupBy(F.col("doc_id").alias("id")).agg(F.sort_array(F.collect_list("times"), asc=False).alias("counts"))
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("`doc_id`").cast("long").alias("key"), F.xxhash64("`source`", "`text`").alias("digest"), F.col("`text`").alias("body"))
+    placed = row.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("digest", "body"))).select("row", "key", "place")
+    joined = placed.join(counts, F.col("key").eqNullSafe(F.col("id")))
+    n = F.element_at("counts", F.col("place"))
+    repeated = joined.filter(n > 0).select("row", F.explode(F.sequence(F.lit(1).cast("long"), n)))
+    return repeated.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

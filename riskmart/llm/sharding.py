@@ -65,8 +65,8 @@ def assign_shards(
     gives an empty one.
     """
     names = [f"shard-{k}" for k in range(shards)] if isinstance(shards, int) else list(shards)
-    kept = rows.select(*(F.col(f"`{c}`") for c in rows.columns if c not in (shard, slot) or c == key), slot_of(F.col(f"`{key}`"), size).alias("__slot"))
-    table = _table(rows.sparkSession, names, size, "__slot", "__shard")
-    placed = kept.join(F.broadcast(table), "__slot")
-    columns = [F.col(f"`{c}`") for c in kept.columns if c != "__slot" and c not in (shard, slot)]
-    return placed.select(*columns, F.col("__slot").alias(slot), F.col("__shard").alias(shard))
+    columns = [c for c in rows.columns if c not in (shard, slot)]
+    # The row travels as one struct, so none of its columns can clash with those of the table.
+    kept = rows.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), slot_of(F.col(f"`{key}`"), size).alias("at"))
+    placed = kept.join(F.broadcast(_table(rows.sparkSession, names, size, "at", "owner")), "at")
+    return placed.select(*(F.col("row").getField(c).alias(c) for c in columns), F.col("at").alias(slot), F.col("owner").alias(shard))

@@ -17,6 +17,8 @@ from pyspark.sql.window import Window
 
 #: Bytes hashed at once; bounds the temporary arrays whatever the length of a text.
 CHUNK = 1 << 20
+#: Longer words get a hash of their own: sums of powers modulo 2^64 are equal for some pairs of different long words.
+LONG = 64
 #: Fixed odd multipliers of the hashes.
 BASE = 0x9E3779B97F4A7C15
 STEP = 0xD6E8FEB86659FD93
@@ -65,6 +67,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         np.cumsum((data[low : low + n].astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
         s, e = starts[i:j] - low, ends[i:j] - low
         out[i:j] = mix((total[e] - total[s]) * inverse[s])
+        for k in np.flatnonzero(e - s > LONG) + i:
+            out[k] = xxhash.xxh64_intdigest(data[int(starts[k]) : int(ends[k])].tobytes())
         i = j
     return out
 
