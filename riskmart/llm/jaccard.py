@@ -5,9 +5,10 @@ documents. If two sets of similarity t or more each keep their first n - ceil(t
 least. A longer prefix (larger l) means more postings and fewer candidates, so each document takes the l of least
 estimated cost. A pair must share as many prefix elements as the smaller l of the two asks for, and is then verified.
 
-Only the components of the links are needed, so pairs within a group of copies are not listed: equal sets are one node,
-each node is first verified against two partners of its postings, and only nodes that are still in different components
-are paired after that.
+Only the components of the links are needed, so pairs within a group of copies are not listed. Equal sets are one node.
+The nodes of an element meet in short lists, dealt anew each turn, and of a list only the edges of a spanning forest of
+its likely links are verified, the closest first: fewer than it has nodes. Only nodes that are still in different
+components after those turns are all paired.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskmart.llm.components import connected_components
 from riskmart.llm.tables import stored
@@ -35,10 +35,10 @@ MOST_MATCHES = 8
 VERIFY_COST = 8.0
 #: The sketch has 2 ** 20 counters whatever the input; it only orders elements and estimates costs.
 SKETCH_BITS = 20
-#: An element that this many documents may hold has its postings dealt over several tasks.
-HOT = 20_000
-#: Nodes of one list when components are paired.
+#: Nodes of one list.
 LIST = 256
+#: Turns of spanning forests before the components left are paired; any number gives the same links.
+TURNS = 2
 #: Pairs of nodes compared in one step.
 PAIRS_AT_ONCE = 1 << 18
 
@@ -102,8 +102,8 @@ def set_keys(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(values[s:e].tobytes()) for s, e in zip(ptr[:-1], ptr[1:], strict=True)], U64).view(np.int64)
 
 
-def _prefix_rows(docs: DataFrame, sketch: np.ndarray, width: int, percent: int, hot: int) -> DataFrame:
-    """doc_id, node (name of the set), n, matches, and the prefix as lists of elements and of how widely each is spread."""
+def _prefix_rows(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
+    """doc_id, node (name of the set), n, matches, the prefix as a list of elements, and the parity sketch."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,23 +111,20 @@ def _prefix_rows(docs: DataFrame, sketch: np.ndarray, width: int, percent: int,
         for batch in batches:
             for part in pieces(batch, "text"):
                 values, ptr = shingle_sets(part.column("text"), width)
-                kept, out_ptr, seen, matches = prefixes(values, ptr, counts, percent)
-                spread = (-(-seen // hot)).astype(np.int32)
-                offsets = pa.array(out_ptr, pa.int32())
+                kept, out_ptr, _, matches = prefixes(values, ptr, counts, percent)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array(set_keys(values, ptr)),
                         pa.array(np.diff(ptr)),
                         pa.array(matches),
-                        pa.ListArray.from_arrays(offsets, pa.array(kept.view(np.int64))),
-                        pa.ListArray.from_arrays(offsets, pa.array(spread)),
+                        pa.ListArray.from_arrays(pa.array(out_ptr, pa.int32()), pa.array(kept.view(np.int64))),
                         pa.array(parity_sketches(values, ptr), pa.binary()),
                     ],
-                    ["doc_id", "node", "n", "matches", "tokens", "spread", "sketch"],
+                    ["doc_id", "node", "n", "matches", "tokens", "sketch"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, matches long, tokens array<long>, spread array<int>, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, node long, n long, matches long, tokens array<long>, sketch binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -211,6 +208,76 @@ def similar(percent: int):
     return near
 
 
+def spanning_forest(one: np.ndarray, two: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Which edges (one, two) make up the spanning forest of least total `apart`, by rounds of closest edges per tree."""
+    edges = np.lexsort((two, one, apart))  # a place in this order breaks ties, so that the closest edges make no cycle
+    ends, at = np.unique(np.concatenate([one[edges], two[edges]]), return_inverse=True)
+    x, y = at[: len(edges)], at[len(edges) :]
+    tree = np.arange(len(ends))
+    chosen = []
+    left = np.arange(len(edges))
+    while True:
+        left = left[tree[x[left]] != tree[y[left]]]
+        if not len(left):
+            return edges[np.concatenate(chosen)] if chosen else left
+        closest = np.full(len(ends), len(edges))
+        for side in (tree[x[left]], tree[y[left]]):
+            own = np.full(len(ends), len(edges))
+            own[side[::-1]] = left[::-1]  # the first edge of each tree is written last
+            closest = np.minimum(closest, own)
+        roots = np.flatnonzero(closest < len(edges))
+        picked = closest[roots]
+        chosen.append(np.unique(picked))
+        to = np.arange(len(ends))
+        to[roots] = tree[x[picked]] + tree[y[picked]] - roots
+        mutual = (to[to] == np.arange(len(ends))) & (np.arange(len(ends)) < to)
+        to[mutual] = np.flatnonzero(mutual)
+        while not np.array_equal(to, to[to]):
+            to = to[to]
+        tree = to[tree]
+
+
+def _forests(near):
+    """(a, b) of the edges of each list's spanning forest over its components, among the pairs that are near."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, size, x = _members(batch.column("members"))
+            names, component = np.unique(x["component"], return_inverse=True)
+            total = np.concatenate([[0], np.cumsum(size * size)])
+            low = 0
+            while low < batch.num_rows:  # as many rows as have PAIRS_AT_ONCE pairs; each has few, as lists are short
+                high = max(low + 1, int(np.searchsorted(total, total[low] + PAIRS_AT_ONCE, "right")) - 1)
+                row = np.repeat(np.arange(low, high), np.diff(total[low : high + 1]))
+                at = np.arange(total[low], total[high]) - total[row]
+                low = high
+                i, j = start[row] + at // size[row], start[row] + at % size[row]
+                fits = (component[i] != component[j]) & (x["node"][i] < x["node"][j])
+                i, j, row = i[fits], j[fits], row[fits]
+                fits = near(x, x, i, j)
+                i, j, row = i[fits], j[fits], row[fits]
+                apart = np.bitwise_count(x["sketch"][i] ^ x["sketch"][j]).sum(1, dtype=np.int64)
+                kept = spanning_forest(row * len(names) + component[i], row * len(names) + component[j], apart)
+                if len(kept):
+                    edges = np.unique(np.stack([x["node"][i[kept]], x["node"][j[kept]]]), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(edges[0]), pa.array(edges[1])], ["a", "b"])
+
+    return run
+
+
+def closest_pairs(postings: DataFrame, nodes: DataFrame, turn: int, near) -> DataFrame:
+    """Pairs (a, b) of nodes in different components, fewer than there are postings: a forest of each list of a token.
+
+    postings: token, node, lists (of the token); nodes: node, n, matches, component, sketch. In turn 0 nodes meet in the
+    same lists of many tokens, so that few different pairs come out; later each token deals them in its own way.
+    """
+    dealt = F.xxhash64("node", "token", F.lit(turn)) if turn else F.xxhash64("node")
+    part = F.pmod(dealt, F.col("lists")).alias("part")
+    members = F.collect_list(F.struct("node", "n", "matches", "component", "sketch")).alias("members")
+    lists = postings.join(nodes, "node").groupBy("token", part).agg(members).filter("size(members) > 1").select("members")
+    return lists.mapInArrow(_forests(near), "a long, b long").distinct()
+
+
 def _met(near):
     """(a, b, need) of the pairs of two lists that lie in different components and are near; many rows at once."""
 
@@ -240,10 +307,14 @@ def _met(near):
     return run
 
 
+def with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (node, ...) with their component; a node without a label is its own."""
+    return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def mixed_postings(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """The postings whose token has nodes of several components, with their component and the number of lists of the token."""
-    named = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return in_lists(stored(named.select(*postings.columns, "component")))
+    return in_lists(stored(with_component(postings, labels).select(*postings.columns, "component")))
 
 
 def in_lists(named: DataFrame) -> DataFrame:
@@ -267,7 +338,7 @@ def pairs_across(mixed: DataFrame, near) -> DataFrame:
     return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
 
 
-def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot: int = HOT) -> DataFrame:
+def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, turns: int = TURNS) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that links reach; one row per row of docs.
 
     Texts without words (NULL, empty, spaces) have no shingles, link with nothing and are their own component. Shorter
@@ -275,30 +346,33 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     text but never names a component that has another id. An empty table gives an empty one.
     """
     rows = plain(docs, "doc_id", "text")
-    made = stored(_prefix_rows(rows, frequency_sketch(rows, width), width, percent, hot))
-    first = F.min_by(F.struct("n", "matches", "tokens", "spread"), F.struct(F.col("doc_id").isNull(), F.col("doc_id")))
+    made = stored(_prefix_rows(rows, frequency_sketch(rows, width), width, percent))
+    first = F.min_by(F.struct("n", "matches", "tokens", "sketch"), F.struct(F.col("doc_id").isNull(), F.col("doc_id")))
     nodes = made.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), first.alias("own"))
-    exploded = nodes.select("node", "doc_id", "own.n", "own.matches", F.explode(F.arrays_zip("own.tokens", "own.spread")).alias("t"))
-    salted = exploded.select("node", "doc_id", "n", "matches", F.col("t.tokens").alias("token"), F.col("t.spread").alias("spread"))
-    by = Window.partitionBy("token", F.when(F.col("spread") > 1, F.pmod(F.xxhash64("node"), F.col("spread"))).otherwise(F.lit(0))).orderBy("n", "node")
-    seen = salted.select("*", F.lag("node").over(by).alias("before"), F.lead("node").over(by).alias("after"), F.first("node").over(by).alias("head"))
-    postings = stored(seen.filter("spread > 1 OR before IS NOT NULL OR after IS NOT NULL").drop("after", "spread"))
-
-    def best(partner: str) -> DataFrame:
-        counted = postings.filter(f"{partner} IS NOT NULL AND {partner} != node").groupBy("node", partner).agg(F.count("*").alias("k"))
-        return counted.groupBy("node").agg(F.max(F.struct("k", partner)).alias("best")).select(F.col("node").alias("a"), F.col(f"best.{partner}").alias("b"))
-
-    texts = stored(texts_of(rows, postings.select("node", "doc_id").distinct(), lambda texts: set_keys(*shingle_sets(texts, width))))
-    pairs = best("head").unionByName(best("before")).distinct()
-    links = stored(verified(pairs, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    sketches = made.filter("n > 0").groupBy("node").agg(F.min("sketch").alias("sketch"))
-    members = postings.select("token", "node", "n", "matches")
-    mixed = mixed_postings(members, connected_components(links)).join(sketches, "node")
-    across = stored(pairs_across(mixed, similar(percent)))
-    more = stored(verified(across, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    labels = connected_components(links.unionByName(more))
-    ids = made.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = ids.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    nodes = stored(nodes.select("node", "doc_id", "own.*"))
+    exploded = nodes.select("node", F.explode("tokens").alias("token"))
+    met = exploded.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
+    postings = stored(exploded.join(met.select("token", F.ceil(F.col("size") / LIST).alias("lists")), "token").select("token", "node", "lists"))
+    about = nodes.select("node", "n", "matches", "sketch")
+
+    met_nodes = nodes.select("node", "doc_id").join(postings.select("node").distinct(), "node", "left_semi")
+    texts = stored(texts_of(rows, met_nodes, lambda texts: set_keys(*shingle_sets(texts, width))))
+    near = similar(percent)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return stored(verified(pairs, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+
+    links, labels = None, None
+    for turn in range(turns):
+        own = about.withColumn("component", F.col("node")) if labels is None else with_component(about, labels)
+        new = linked(stored(closest_pairs(postings, own, turn, near)))
+        links = new if links is None else links.unionByName(new)
+        labels = stored(connected_components(links))
+    members = postings.select("token", "node")
+    mixed = mixed_postings(members, labels).join(about, "node")
+    labels = connected_components(links.unionByName(linked(stored(pairs_across(mixed, near)))))
+    ids = nodes.select("node", F.col("doc_id").alias("least"))
+    named = with_component(ids, labels)
     smallest = named.groupBy("component").agg(F.min("least").alias("smallest"))
     names = named.join(smallest, "component").select("node", "smallest")
     out = made.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(names, "node", "left")

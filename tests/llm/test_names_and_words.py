@@ -91,3 +91,50 @@ def test_mix_meets_plain_targets(spark, sf_dir, duck):
     print({s: round(taken[s] / want[s] - 1, 4) for s in of})
     for s in of:
         assert abs(taken[s] - want[s]) <= 0.02 * want[s], (s, taken[s], want[s], largest[s])
+
+
+def test_a_spanning_forest_joins_what_the_edges_join():
+    rng = np.random.default_rng(5)
+    for size, most in ((1, 0), (12, 6), (40, 30), (60, 400)):
+        ends = rng.integers(0, size, (2, most))
+        ends = ends[:, ends[0] != ends[1]]
+        apart = rng.integers(0, 4, ends.shape[1])
+
+        def trees(edges, size=size):
+            tree = list(range(size))
+            for a, b in edges:
+                low, high = sorted((tree[a], tree[b]))
+                tree = [low if t == high else t for t in tree]
+            return tree
+
+        chosen = jaccard.spanning_forest(ends[0], ends[1], apart)
+        assert trees(ends[:, chosen].T) == trees(ends.T)
+        assert len(chosen) == size - len(set(trees(ends.T)))
+        for weight in range(4):  # a forest of least weight has as many edges up to each weight as those edges allow
+            light = ends[:, apart <= weight]
+            assert (apart[chosen] <= weight).sum() == size - len(set(trees(light.T)))
+
+
+@pytest.mark.parametrize("turns", [1, 2])
+def test_links_of_a_large_near_group_do_not_depend_on_lists_and_turns(spark, monkeypatch, turns):
+    monkeypatch.setattr(jaccard, "LIST", 4)
+    rng = np.random.default_rng(9)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for k in range(70):  # copies with one to three words changed: some are too far from all others
+        text = list(base)
+        for at in rng.choice(60, rng.integers(1, 4), replace=False):
+            text[at] = f"x{k}"
+        texts.append(text)
+    texts += [[f"y{k}-{j}" for j in range(50)] + base[:12] for k in range(20)]  # a passage that different texts share
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.link_components(docs, turns=turns).collect()}
+    assert [got[k] for k in range(len(texts))] == label
+    assert len(set(label)) > 21
