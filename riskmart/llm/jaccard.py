@@ -6,9 +6,8 @@ least. A longer prefix (larger l) means more postings and fewer candidates, so e
 estimated cost. A pair must share as many prefix elements as the smaller l of the two asks for, and is then verified.
 
 Only the components of the links are needed, so pairs within a group of copies are not listed. Equal sets are one node.
-The nodes of an element meet in short lists, dealt anew each turn, and of a list only the edges of a spanning forest of
-its likely links are verified, the closest first: fewer than it has nodes. Only nodes that are still in different
-components after those turns are all paired.
+The nodes of an element meet in short lists, and of a list only the edges of a spanning forest of its likely links are
+verified, the closest first: fewer than it has nodes. Only nodes that are then still in different components are paired.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskmart.llm.components import connected_components
 from riskmart.llm.tables import stored
@@ -37,8 +37,10 @@ VERIFY_COST = 8.0
 SKETCH_BITS = 20
 #: Nodes of one list.
 LIST = 256
-#: Turns of spanning forests before the components left are paired; any number gives the same links.
-TURNS = 2
+#: Ways to deal the nodes of an element over lists; two join what one way leaves apart.
+DEALS = 2
+#: An element that this many documents may hold, beyond twice the average counter, has its postings dealt over tasks.
+HOT = 20_000
 #: Pairs of nodes compared in one step.
 PAIRS_AT_ONCE = 1 << 18
 
@@ -102,29 +104,34 @@ def set_keys(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(values[s:e].tobytes()) for s, e in zip(ptr[:-1], ptr[1:], strict=True)], U64).view(np.int64)
 
 
-def _prefix_rows(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
-    """doc_id, node (name of the set), n, matches, the prefix as a list of elements, and the parity sketch."""
+def _prefix_rows(docs: DataFrame, sketch: np.ndarray, width: int, percent: int, hot: int) -> DataFrame:
+    """doc_id, node (name of the set), n, matches, the prefix as lists of elements and of the lists that each may fill
+    (0 unless hot), and the parity sketch."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    most = hot + 2 * int(sketch.mean())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
             for part in pieces(batch, "text"):
                 values, ptr = shingle_sets(part.column("text"), width)
-                kept, out_ptr, _, matches = prefixes(values, ptr, counts, percent)
+                kept, out_ptr, seen, matches = prefixes(values, ptr, counts, percent)
+                lists = np.where(seen > most, -(-seen // LIST), 0).astype(np.int32)
+                offsets = pa.array(out_ptr, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array(set_keys(values, ptr)),
                         pa.array(np.diff(ptr)),
                         pa.array(matches),
-                        pa.ListArray.from_arrays(pa.array(out_ptr, pa.int32()), pa.array(kept.view(np.int64))),
+                        pa.ListArray.from_arrays(offsets, pa.array(kept.view(np.int64))),
+                        pa.ListArray.from_arrays(offsets, pa.array(lists)),
                         pa.array(parity_sketches(values, ptr), pa.binary()),
                     ],
-                    ["doc_id", "node", "n", "matches", "tokens", "sketch"],
+                    ["doc_id", "node", "n", "matches", "tokens", "lists", "sketch"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, matches long, tokens array<long>, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, node long, n long, matches long, tokens array<long>, lists array<int>, sketch binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -187,7 +194,8 @@ def parity_sketches(values: np.ndarray, ptr: np.ndarray) -> list[bytes]:
 def _members(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
     """Where each list begins, its length, and the members' fields, 'sketch' as rows of 64-bit words."""
     rows = column.values
-    out = {n: rows.field(n).to_numpy(zero_copy_only=False) for n in ("node", "n", "matches", "component")}
+    fields = [rows.type.field(k).name for k in range(rows.type.num_fields)]
+    out = {n: rows.field(n).to_numpy(zero_copy_only=False) for n in fields if n != "sketch"}
     sketch, ptr = buffers(rows.field("sketch"))
     out["sketch"] = np.frombuffer(sketch.tobytes(), U64).reshape(len(ptr) - 1, -1)
     offsets = column.offsets.to_numpy().astype(np.int64)
@@ -238,12 +246,11 @@ def spanning_forest(one: np.ndarray, two: np.ndarray, apart: np.ndarray) -> np.n
 
 
 def _forests(near):
-    """(a, b) of the edges of each list's spanning forest over its components, among the pairs that are near."""
+    """(a, b) of the edges of each list's spanning forest, among the pairs that are near."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             start, size, x = _members(batch.column("members"))
-            names, component = np.unique(x["component"], return_inverse=True)
             total = np.concatenate([[0], np.cumsum(size * size)])
             low = 0
             while low < batch.num_rows:  # as many rows as have PAIRS_AT_ONCE pairs; each has few, as lists are short
@@ -252,30 +259,28 @@ def _forests(near):
                 at = np.arange(total[low], total[high]) - total[row]
                 low = high
                 i, j = start[row] + at // size[row], start[row] + at % size[row]
-                fits = (component[i] != component[j]) & (x["node"][i] < x["node"][j])
-                i, j, row = i[fits], j[fits], row[fits]
+                fits = i < j
+                i, j = i[fits], j[fits]
                 fits = near(x, x, i, j)
-                i, j, row = i[fits], j[fits], row[fits]
+                i, j = i[fits], j[fits]
                 apart = np.bitwise_count(x["sketch"][i] ^ x["sketch"][j]).sum(1, dtype=np.int64)
-                kept = spanning_forest(row * len(names) + component[i], row * len(names) + component[j], apart)
+                kept = spanning_forest(i, j, apart)
                 if len(kept):
-                    edges = np.unique(np.stack([x["node"][i[kept]], x["node"][j[kept]]]), axis=1)
+                    edges = np.unique(np.sort(np.stack([x["node"][i[kept]], x["node"][j[kept]]]), axis=0), axis=1)
                     yield pa.RecordBatch.from_arrays([pa.array(edges[0]), pa.array(edges[1])], ["a", "b"])
 
     return run
 
 
-def closest_pairs(postings: DataFrame, nodes: DataFrame, turn: int, near) -> DataFrame:
-    """Pairs (a, b) of nodes in different components, fewer than there are postings: a forest of each list of a token.
+def closest_pairs(postings: DataFrame, nodes: DataFrame, near) -> DataFrame:
+    """Pairs (a, b) of nodes, fewer than DEALS times the nodes of each token: a spanning forest of each of its lists.
 
-    postings: token, node, lists (of the token); nodes: node, n, matches, component, sketch. In turn 0 nodes meet in the
-    same lists of many tokens, so that few different pairs come out; later each token deals them in its own way.
+    postings: token, node, lists (of the token); nodes: node, n, sketch. Nodes meet in the same lists of many tokens, so
+    that few different pairs come out, but not in the same of all, so that large groups do not fall apart.
     """
-    dealt = F.xxhash64("node", "token", F.lit(turn)) if turn else F.xxhash64("node")
-    part = F.pmod(dealt, F.col("lists")).alias("part")
-    members = F.collect_list(F.struct("node", "n", "matches", "component", "sketch")).alias("members")
-    lists = postings.join(nodes, "node").groupBy("token", part).agg(members).filter("size(members) > 1").select("members")
-    return lists.mapInArrow(_forests(near), "a long, b long").distinct()
+    part = F.pmod(F.xxhash64("node", F.pmod("token", F.lit(DEALS))), F.col("lists")).alias("part")
+    lists = postings.join(nodes, "node").groupBy("token", part).agg(F.collect_list(F.struct("node", "n", "sketch")).alias("members"))
+    return lists.filter("size(members) > 1").select("members").mapInArrow(_forests(near), "a long, b long").distinct()
 
 
 def _met(near):
@@ -338,7 +343,15 @@ def pairs_across(mixed: DataFrame, near) -> DataFrame:
     return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
 
 
-def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, turns: int = TURNS) -> DataFrame:
+def _links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """src, dst of the pairs that are links. Only their texts are fetched: by a table of ids whose size Spark knows."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = stored(nodes.select("node", "doc_id").join(ends, "node", "left_semi"))
+    texts = stored(texts_of(rows, wanted, lambda texts: set_keys(*shingle_sets(texts, width))))
+    return stored(verified(pairs, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+
+
+def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot: int = HOT) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that links reach; one row per row of docs.
 
     Texts without words (NULL, empty, spaces) have no shingles, link with nothing and are their own component. Shorter
@@ -346,31 +359,24 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     text but never names a component that has another id. An empty table gives an empty one.
     """
     rows = plain(docs, "doc_id", "text")
-    made = stored(_prefix_rows(rows, frequency_sketch(rows, width), width, percent))
-    first = F.min_by(F.struct("n", "matches", "tokens", "sketch"), F.struct(F.col("doc_id").isNull(), F.col("doc_id")))
-    nodes = made.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), first.alias("own"))
-    nodes = stored(nodes.select("node", "doc_id", "own.*"))
-    exploded = nodes.select("node", F.explode("tokens").alias("token"))
-    met = exploded.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
-    postings = stored(exploded.join(met.select("token", F.ceil(F.col("size") / LIST).alias("lists")), "token").select("token", "node", "lists"))
-    about = nodes.select("node", "n", "matches", "sketch")
-
-    met_nodes = nodes.select("node", "doc_id").join(postings.select("node").distinct(), "node", "left_semi")
-    texts = stored(texts_of(rows, met_nodes, lambda texts: set_keys(*shingle_sets(texts, width))))
-    near = similar(percent)
+    made = stored(_prefix_rows(rows, frequency_sketch(rows, width), width, percent, hot))
+    sets = made.filter("n > 0").groupBy("node")
+    nodes = stored(sets.agg(*(F.min(c).alias(c) for c in ("doc_id", "n", "matches", "sketch"))))
+    first = F.min_by(F.struct("tokens", "lists"), F.struct(F.col("doc_id").isNull(), F.col("doc_id"))).alias("own")
+    exploded = sets.agg(first).select("node", F.explode(F.arrays_zip("own.tokens", "own.lists")).alias("t"))
+    salted = exploded.select("node", F.col("t.tokens").alias("token"), F.col("t.lists").alias("most"))
+    salt = F.when(F.col("most") > 0, F.pmod(F.xxhash64("node"), F.col("most"))).otherwise(F.lit(0))
+    counted = salted.withColumn("size", F.count("*").over(Window.partitionBy("token", salt)))
+    lists = F.when(F.col("most") > 0, F.col("most")).otherwise(F.ceil(F.col("size") / LIST)).cast("long").alias("lists")
+    postings = stored(counted.filter("most > 0 OR size > 1").select("token", "node", lists))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        return stored(verified(pairs, texts, width, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-
-    links, labels = None, None
-    for turn in range(turns):
-        own = about.withColumn("component", F.col("node")) if labels is None else with_component(about, labels)
-        new = linked(stored(closest_pairs(postings, own, turn, near)))
-        links = new if links is None else links.unionByName(new)
-        labels = stored(connected_components(links))
+    near = similar(percent)
+    pairs = stored(closest_pairs(postings, nodes.select("node", "n", "sketch"), near))
+    links = _links(pairs, nodes, rows, width, percent)
     members = postings.select("token", "node")
-    mixed = mixed_postings(members, labels).join(about, "node")
-    labels = connected_components(links.unionByName(linked(stored(pairs_across(mixed, near)))))
+    mixed = mixed_postings(members, connected_components(links)).join(nodes.select("node", "n", "matches", "sketch"), "node")
+    across = stored(pairs_across(mixed, near))
+    labels = connected_components(links.unionByName(_links(across, nodes, rows, width, percent)))
     ids = nodes.select("node", F.col("doc_id").alias("least"))
     named = with_component(ids, labels)
     smallest = named.groupBy("component").agg(F.min("least").alias("smallest"))

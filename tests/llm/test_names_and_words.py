@@ -115,8 +115,8 @@ def test_a_spanning_forest_joins_what_the_edges_join():
             assert (apart[chosen] <= weight).sum() == size - len(set(trees(light.T)))
 
 
-@pytest.mark.parametrize("turns", [1, 2])
-def test_links_of_a_large_near_group_do_not_depend_on_lists_and_turns(spark, monkeypatch, turns):
+@pytest.mark.parametrize("hot", [jaccard.HOT, 0])
+def test_links_of_a_large_near_group_do_not_depend_on_lists(spark, monkeypatch, hot):
     monkeypatch.setattr(jaccard, "LIST", 4)
     rng = np.random.default_rng(9)
     base = [f"w{k}" for k in range(60)]
@@ -135,6 +135,6 @@ def test_links_of_a_large_near_group_do_not_depend_on_lists_and_turns(spark, mon
                 low, high = sorted((label[i], label[j]))
                 label = [low if x == high else x for x in label]
     docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in jaccard.link_components(docs, turns=turns).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.link_components(docs, hot=hot).collect()}
     assert [got[k] for k in range(len(texts))] == label
     assert len(set(label)) > 21
