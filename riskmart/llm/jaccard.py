@@ -166,7 +166,8 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, percent: in
 def texts_of(docs: DataFrame, nodes: DataFrame, names) -> DataFrame:
     """node, text of these nodes (node, doc_id); names gives the names of texts.
 
-    Rows are met by id; those without one are met by name, as all of them have the same id.
+    Rows are met by id; those without one are met by name, as all of them have the same id. The nodes are to be stored:
+    whether any has no id is looked up first, as the rows without one are read for those nodes only.
     """
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,6 +181,8 @@ def texts_of(docs: DataFrame, nodes: DataFrame, names) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(names(part.column("text"))), part.column("text")], ["node", "text"])
 
     found = docs.join(nodes, "doc_id").select("node", "text").mapInArrow(own, "node long, text string")
+    if nodes.filter("doc_id IS NULL").agg(F.count("*")).first()[0] == 0:
+        return found.dropDuplicates(["node"])
     bare = docs.filter("doc_id IS NULL").select("text").mapInArrow(named, "node long, text string")
     return found.unionByName(bare.join(nodes.filter("doc_id IS NULL").select("node"), "node", "left_semi")).dropDuplicates(["node"])
 
@@ -374,9 +377,11 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     pairs = stored(closest_pairs(postings, nodes.select("node", "n", "sketch"), near))
     links = _links(pairs, nodes, rows, width, percent)
     members = postings.select("token", "node")
-    mixed = mixed_postings(members, connected_components(links)).join(nodes.select("node", "n", "matches", "sketch"), "node")
+    found = connected_components(links)
+    mixed = mixed_postings(members, found).join(nodes.select("node", "n", "matches", "sketch"), "node")
     across = stored(pairs_across(mixed, near))
-    labels = connected_components(links.unionByName(_links(across, nodes, rows, width, percent)))
+    stars = found.select(F.col("node").alias("src"), F.col("component").alias("dst"))
+    labels = connected_components(stars.unionByName(_links(across, nodes, rows, width, percent)))
     ids = nodes.select("node", F.col("doc_id").alias("least"))
     named = with_component(ids, labels)
     smallest = named.groupBy("component").agg(F.min("least").alias("smallest"))

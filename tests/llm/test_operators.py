@@ -106,6 +106,32 @@ def test_components_of_a_chain_and_a_star(spark):
     assert all(got[k] == 0 for k in range(41)) and all(got[k] == 100 for k in range(100, 180)) and len(got) == 121
 
 
+@pytest.mark.parametrize("shape", ["random", "stars", "empty"])
+def test_components_equal_union_find(spark, monkeypatch, shape):
+    rng = np.random.default_rng(5)
+    links = {
+        "random": [(int(a), int(b)) for a, b in rng.integers(-60, 60, (70, 2))] * 2 + [(b, a) for a, b in rng.integers(100, 900, (300, 2)).tolist()],
+        "stars": [(0, k) for k in range(1, 30)] + [(k, 50) for k in range(51, 60)] + [(50, 50)],
+        "empty": [(3, 3)],
+    }[shape]
+    owner = {x: x for a, b in links if a != b for x in (a, b)}
+
+    def top(x):
+        while owner[x] != x:
+            x = owner[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            low, high = sorted((top(a), top(b)))
+            owner[high] = low
+    written = []
+    monkeypatch.setattr(components, "stored", lambda rows, write=components.stored: written.append(1) or write(rows))
+    got = components.connected_components(spark.createDataFrame(links, "src long, dst long")).collect()
+    assert len(got) == len(owner) and {r["node"]: r["component"] for r in got} == {x: top(x) for x in owner}
+    assert len(written) == 1 or shape == "random"  # stars, and tables without links, take no round
+
+
 @pytest.mark.parametrize("most_runs", [suffixes.MOST_RUNS, 1])
 def test_repeated_bytes_equal_brute_force(spark, docs, empty, most_runs):
     ordered = sorted(rows(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
