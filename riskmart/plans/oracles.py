@@ -367,6 +367,10 @@ ORACLES: dict[str, str] = {
     "ingest_metrics": landed_metrics(),
     "ingest_rejects": f"SELECT reject_reason, COUNT(*) AS messages FROM ({audited()}) GROUP BY 1",
     "rejected_messages": f"SELECT reject_reason, message_key, message_value FROM ({audited()}) WHERE reject_reason <> ''",
+    "arrival_lake": f"""
+        SELECT strftime(activity_date, '%Y-%m-%d') AS arrival, COUNT(*) AS landed_rows,
+               CAST(SUM(CAST(ip_address AS BIGINT)) AS BIGINT) AS id_sum
+        FROM ({holey("activity")}) GROUP BY 1""",
     "raw_scan": as_text(holey("payments"), SPECS["payments"]),
     "refresh_table": rendered(TYPED["transactions"], TX),
     "month_partitions": rendered(

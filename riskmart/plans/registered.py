@@ -46,6 +46,7 @@ from riskmart.sources.bench_tables import BOUNDS, WIDE, row_id, stream, table
 from riskmart.sources.messages import FileLog, as_text, send, to_messages
 from riskmart.sources.raw import raw_path, raw_scan, replace_raw_view
 from riskmart.specs import MONTH, SPECS
+from riskmart.streaming.arrivals import ARRIVAL, ArrivalLake
 from riskmart.streaming.audit import audit_counts, rejected_rows, start_audited_ingest
 from riskmart.streaming.ingest import IngestReport, ingest_all, ingest_streams
 
@@ -185,6 +186,20 @@ def q_rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_rows(spark, spec, f"{root}/raw").drop("batch")
 
 
+def q_arrival_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per day of arrival, which is that of the event here, once the days of the first half are compacted."""
+    spec, root = WIDE["activity"], work_dir(spark, "arrival_lake")
+    lake = ArrivalLake(f"{root}/raw", spec)
+    messages = _holey_messages(stream(spark, sf_dir, "activity"), "activity")
+    stamped = messages.withColumn("timestamp", F.get_json_object("value", "$.activity_date").cast("timestamp"))
+    lake.start(stamped, f"{root}/marks").awaitTermination()
+    days = lake.days(spark)
+    lake.compact(spark, dt.date.fromisoformat(days[len(days) // 2]))
+    lake.expire(spark)
+    event_id = F.col("ip_address").cast("bigint")
+    return lake.read(spark).groupBy(ARRIVAL).agg(F.count(F.lit(1)).alias("landed_rows"), F.sum(event_id).alias("id_sum"))
+
+
 def q_raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = WIDE["payments"]
     path = raw_path(work_dir(spark, "raw_scan"), spec)
@@ -503,6 +518,7 @@ QUERIES: dict[str, Query] = {
     "ingest_metrics": q_ingest_metrics,
     "ingest_rejects": q_ingest_rejects,
     "rejected_messages": q_rejected_messages,
+    "arrival_lake": q_arrival_lake,
     "raw_scan": q_raw_scan,
     "refresh_table": q_refresh_table,
     "month_partitions": q_month_partitions,
