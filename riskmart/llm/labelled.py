@@ -27,10 +27,16 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFra
     return docs.filter(F.col("text").isNotNull()).join(kept, "doc_id")
 
 
-def fit(rows: DataFrame, featurise: Callable[[pa.RecordBatch], tuple[np.ndarray, ...]], train: Callable[[list[tuple[np.ndarray, ...]]], np.ndarray]) -> np.ndarray:
+def fit(
+    rows: DataFrame,
+    featurise: Callable[[pa.RecordBatch], tuple[np.ndarray, ...]],
+    train: Callable[[list[tuple[np.ndarray, ...]]], np.ndarray],
+    narrow: Callable[[DataFrame], DataFrame] = lambda made: made,
+) -> np.ndarray:
     """Turn the sample (doc_id, text, y) into features on the executors, then train in one task; the weights come back.
 
-    Rows are put in order of a hash of their content before training, so a rerun gives the same weights.
+    narrow takes from the features (order, y, a, b) what training does not use. Rows are put in order of a hash of their
+    content before training, so a rerun gives the same weights.
     """
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,5 +56,5 @@ def fit(rows: DataFrame, featurise: Callable[[pa.RecordBatch], tuple[np.ndarray,
 
     keyed = rows.withColumn("order", F.xxhash64("text", "doc_id"))
     made = keyed.select("order", "y", "text").mapInArrow(features, "order long, y double, a binary, b binary")
-    got = made.repartition(1).mapInArrow(learn, "weights binary").collect()
+    got = narrow(made).repartition(1).mapInArrow(learn, "weights binary").collect()
     return np.frombuffer(got[0][0], np.float32)

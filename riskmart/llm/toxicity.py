@@ -12,8 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskmart.llm.labelled import fit, sample
+from riskmart.llm.tables import stored
 from riskmart.llm.words import PUNCTUATION, mix, pieces, plain, span_hashes, words
 
 #: Buckets of the hashed words.
@@ -21,6 +23,8 @@ BUCKETS = 1 << 20
 #: Bound of the training sample, in labelled documents.
 MOST_LABELLED = 20_000
 EPOCHS = 120
+#: Training documents that a term must occur in to be learnt, and by how many standard errors more often in toxic ones.
+LEAST, ERRORS = 5, 4.0
 #: Beginnings of longer words, in bytes, are terms too: inflected forms of an insult share them.
 PREFIXES = (4, 5, 6)
 #: Bytes that end a sentence.
@@ -80,10 +84,59 @@ def _features(part: pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]
     return a, b
 
 
-def train(rows: list[tuple], epochs: int = EPOCHS, rate: float = 0.1, decay: float = 3e-5, least: int = 5, score: float = 4.0) -> np.ndarray:
+def telling(seen: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which terms are learnt, by the documents that hold them and all documents; both first of those not toxic, then of the others."""
+    n = np.maximum(n, 1)
+    pooled = seen.sum(0) / n.sum()
+    error = np.sqrt(pooled * (1 - pooled) * (1 / n[0] + 1 / n[1]))
+    return (seen.sum(0) >= LEAST) & (seen[1] / n[1] - seen[0] / n[0] > ERRORS * error)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """bucket, clean, toxic: how many documents of each kind hold a term."""
+    seen = np.zeros((2, BUCKETS), np.int32)
+    for batch in batches:
+        for y, bag in zip(batch.column("y").to_pylist(), batch.column("a"), strict=True):
+            seen[int(y > 0.5), np.unique(np.frombuffer(bag.as_py(), np.int32))] += 1
+    used = np.flatnonzero(seen.any(0))
+    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (used, seen[0, used], seen[1, used])], ["bucket", "clean", "toxic"])
+
+
+def _only_telling(made: DataFrame) -> DataFrame:
+    """The features (order, y, a, b) with the terms that are learnt alone, so that one task need not hold all the others."""
+    made = stored(made)
+    kinds = made.agg(F.count(F.when(F.col("y") <= 0.5, 1)), F.count(F.when(F.col("y") > 0.5, 1))).first()
+    n = np.array(list(kinds))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = np.stack([batch.column(c).to_numpy() for c in ("clean", "toxic")])
+            yield batch.select(["bucket"]).filter(pa.array(telling(seen, n)))
+
+    counts = made.select("y", "a").mapInArrow(_counted, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    learnt = np.zeros(BUCKETS, bool)
+    learnt[[row["bucket"] for row in counts.mapInArrow(choose, "bucket long").collect()]] = True  # BUCKETS rows at most
+    shared = made.sparkSession.sparkContext.broadcast(np.packbits(learnt))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            a, b = [], []
+            for bag, lengths in zip(batch.column("a"), batch.column("b"), strict=True):
+                bag, lengths = (np.frombuffer(x.as_py(), np.int32) for x in (bag, lengths))
+                own = wanted[bag]
+                ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+                a.append(bag[own].tobytes())
+                b.append(np.diff(np.concatenate([[0], np.cumsum(own)])[ends]).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("y"), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["order", "y", "a", "b"])
+
+    return made.mapInArrow(keep, made.schema)
+
+
+def train(rows: list[tuple], epochs: int = EPOCHS, rate: float = 0.1, decay: float = 3e-5) -> np.ndarray:
     """Weights by Adam on the mean log loss of all documents.
 
-    Only terms that occur in `least` training documents, and in toxic ones more often than in others by `score` standard
+    Only terms that occur in LEAST training documents, and in toxic ones more often than in others by ERRORS standard
     errors, are learnt; the rest keep weight 0. Without this, words that happen to occur in a few toxic documents would
     explain the labels of the training documents and nothing else.
     """
@@ -95,10 +148,7 @@ def train(rows: list[tuple], epochs: int = EPOCHS, rate: float = 0.1, decay: flo
     seen = np.zeros((2, BUCKETS), np.int32)
     for _, label, bag, _ in rows:
         seen[int(label > 0.5), np.unique(np.frombuffer(bag, np.int32))] += 1
-    n = np.maximum([(y <= 0.5).sum(), (y > 0.5).sum()], 1)
-    pooled = seen.sum(0) / n.sum()
-    error = np.sqrt(pooled * (1 - pooled) * (1 / n[0] + 1 / n[1]))
-    learnt = (seen.sum(0) >= least) & (seen[1] / n[1] - seen[0] / n[0] > score * error)
+    learnt = telling(seen, np.array([(y <= 0.5).sum(), (y > 0.5).sum()]))
     bags = [np.frombuffer(r[2], np.int32) for r in rows]
     lengths = [np.frombuffer(r[3], np.int32) for r in rows]
     text_ptr = np.concatenate([[0], np.cumsum([len(x) for x in lengths])])
@@ -126,7 +176,7 @@ def train(rows: list[tuple], epochs: int = EPOCHS, rate: float = 0.1, decay: flo
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MOST_LABELLED) -> np.ndarray:
     """Weights (BUCKETS and a bias) from at most about `most` documents with a label; without any, every score is near 0."""
-    return fit(sample(plain(docs, "doc_id", "text"), labels, label, most), _features, train)
+    return fit(sample(plain(docs, "doc_id", "text"), labels, label, most), _features, train, _only_telling)
 
 
 def score(docs: DataFrame, weights: np.ndarray, offending: float = 0.5) -> DataFrame:

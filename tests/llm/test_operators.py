@@ -6,9 +6,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
-from riskmart.llm import components, decontamination, fingerprints, jaccard, language_model, mixing, passages, quality, sharding, suffixes, toxicity
+from pyspark.sql import functions as F
+
+from riskmart.llm import components, decontamination, fingerprints, jaccard, labelled, language_model, mixing, passages, quality, sharding, suffixes, toxicity
 from riskmart.llm.words import crc_of_id, shingle_sets, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, node long, shard int, key string, token string"
@@ -415,3 +418,61 @@ def test_classifiers_learn(spark):
     for model, label, at in ((toxicity, "toxic", 2), (quality, "quality", 3)):
         scores = {r["doc_id"]: r["score"] for r in model.score(docs, model.learn(docs, labels, label)).collect()}
         assert sum((scores[m[0]] >= 0.5) == bool(m[at]) for m in made[300:]) >= 95
+
+
+def test_a_shard_is_seated_once(monkeypatch):
+    spread, shards, samples, seated = np.ones(1 << language_model.SKETCH_BITS, np.int64), 3, 2, []
+    plain_seatings = language_model.seatings
+    monkeypatch.setattr(language_model, "seatings", lambda shard, number, *rest: seated.append(number) or plain_seatings(shard, number, *rest))
+    texts = [text_of(k, 30) for k in range(8)]
+    batch = pa.table({"key": pa.array(range(8), pa.int64()), "copy": pa.array([0] * 8, pa.int32()), "text": texts, "held": [k > 5 for k in range(8)]}).to_batches()[0]
+    packed = pa.Table.from_batches(language_model._packed(spread, shards, "held")(iter([batch])))
+    of = lambda table, column: [(k, table.filter(pa.compute.equal(table.column(column), k))) for k in pa.compute.unique(table.column(column))]
+    requests = pa.concat_tables(language_model._requests(spread, shards, samples)((k,), t) for k, t in of(packed, "shard"))
+    answers = pa.concat_tables(language_model._answers(shards, samples)((k,), t) for k, t in of(requests, "owner"))
+    replies = dict((k.as_py(), t) for k, t in of(answers, "shard"))
+    scored = [language_model._scores(shards, samples)((k,), t, replies[k.as_py()]) for k, t in of(packed, "shard")]
+    assert len(seated) == len(set(seated)) == len(scored) > 1
+    assert {t.column("train_tokens")[0].as_py() for t in scored} == {6 * 31}
+
+
+def test_near_copies_meet_in_few_lists_at_first(spark, monkeypatch):
+    base = text_of(31, 200).split()
+    texts = [" ".join([*base[: 5 * k + 20], f"changed{k}", *base[5 * k + 21 :]]) for k in range(30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["component_id"] for r in jaccard.link_components(frame).collect()} == {0}
+
+    def sizes(near):
+        def run(batches):
+            for batch in batches:
+                n = np.diff(batch.column("members").offsets.to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(n.astype(np.int64)), pa.array([random.getrandbits(62) for _ in n], pa.int64())], ["a", "b"])
+
+        return run
+
+    monkeypatch.setattr(jaccard, "_forests", sizes)
+    made = jaccard._prefix_rows(frame, jaccard.frequency_sketch(frame), 5, 75, jaccard.HOT)
+    postings = made.select("node", F.explode("tokens").alias("token")).withColumn("lists", F.lit(1).cast("long"))
+    met = jaccard.closest_pairs(postings, made.select("node", "n", "sketch"), jaccard.similar(75)).agg(F.sum("a")).first()[0]
+    assert 0 < met <= jaccard.FIRST_TOKENS * len(texts) < postings.count() / 3
+
+
+def test_marked_rows_hold_all_wanted_ones(spark):
+    frame = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id") * 7919).alias("doc_id"), F.lit("x").alias("text"))
+    for wanted in (frame.filter("doc_id % 30 = 0"), frame.filter("doc_id IS NULL"), frame.filter("false")):
+        got = {r["doc_id"] for r in jaccard.marked(frame, wanted, "doc_id").filter("marked").collect()}
+        want = {r["doc_id"] for r in wanted.collect()}
+        assert want <= got and len(got) <= len(want) + 5
+
+
+def test_training_holds_the_terms_it_learns_only(spark):
+    texts = [(k, text_of(k, 60) + (" awful." if k % 4 == 0 else ""), k % 4 == 0) for k in range(200)] + [(200, "", False)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, y boolean").selectExpr("doc_id", "text", "double(y) y")
+
+    def seen(rows):
+        return np.array([sum(len(r[2]) for r in rows), *toxicity.train(rows)])
+
+    whole = labelled.fit(frame, toxicity._features, seen)
+    short = labelled.fit(frame, toxicity._features, seen, toxicity._only_telling)
+    assert np.array_equal(whole[1:], short[1:]) and np.count_nonzero(short[1:-1]) > 0
+    assert 0 < short[0] < whole[0] / 10
