@@ -311,6 +311,45 @@ def test_gibbs_seats_frequent_pairs_as_often_as_all_seatings_do(same):
     assert language_model.SAMPLES == 3
 
 
+def test_frequent_words_have_as_many_parent_tables_as_all_seatings_do(monkeypatch):
+    monkeypatch.setattr(language_model, "gibbs", None)  # no step per customer
+    d, shards, words_ = language_model.PARENT[0], 10, 400
+    for count, distinct in ((3, 4000.0), (2000, 4000.0), (300, 500.0)):
+        parent = language_model.Parent(np.array([1, count]), shards, distinct)
+        tables = parent.tables(np.full(words_, count), np.random.default_rng(1), burn_in=40)
+        exact = expected_tables(count, parent.weight(tables.sum() - tables.mean()), d)
+        assert abs(tables.mean() - exact) < 0.06 * exact, (count, exact, tables.mean())
+    tables = language_model.Parent(np.array([1, 5, 40]), shards, 9.0).tables(np.array([0, 1, 5, 40, 0]), np.random.default_rng(1))
+    assert tables[[0, 1, 4]].tolist() == [0, 1, 0] and 1 <= tables[2] <= 5 and 1 <= tables[3] <= 40
+
+
+def test_an_owner_answers_without_a_step_per_customer(monkeypatch):
+    monkeypatch.setattr(language_model, "gibbs", None)
+    facts = np.array([[9, 9], [9, 9], [5, 1], [70_000, 1]], np.uint32)
+    known = np.diff(np.array([3, 8], np.uint64), prepend=np.uint64(0))
+    asked = pa.table({"owner": pa.array([0], pa.int32()), "shard": pa.array([1], pa.int32()), "known": [language_model.pack(known)], "facts": [language_model.pack(facts)]})
+    got = {r["shard"]: r for r in language_model._answers(2, 1)((pa.scalar(0),), asked).to_pylist()}
+    assert set(got) == {0, 1} and got[0]["totals"][:3] == [18.0, 2.0, 70_001.0]
+    roots = language_model.unpack(got[1]["facts"], np.uint32).reshape(5, -1)[4]
+    assert 1 <= roots[0] < 100 and roots[1] == 1 and got[0]["totals"][3] == roots.sum()
+
+
+@pytest.mark.parametrize("few", [16, 40, 10_000])
+def test_gibbs_seats_alike_by_numbers_and_by_arrays(monkeypatch, few):
+    rng = np.random.default_rng(2)
+    count = np.append(rng.integers(0, 30, 400), [90, 200, 3000])
+
+    def seated() -> list[np.ndarray]:
+        total = [0.0]
+        changed = lambda d, by: total.__setitem__(0, total[0] + float(by.sum()))
+        return language_model.gibbs(count, lambda d: np.full(len(d), 1.0 + total[0] / 999), changed, 0.75, np.random.default_rng(3))
+
+    plain_ = seated()
+    monkeypatch.setattr(language_model, "MANY", few)
+    monkeypatch.setattr(language_model, "LAST", few)
+    assert all(np.array_equal(x, y) for x, y in zip(plain_, seated(), strict=True))
+
+
 def test_mixing(docs, empty):
     got = mixing.mix(docs, flight_size=3).collect()
     assert len(got) == len(rows())
