@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -475,6 +476,23 @@ def test_a_shard_is_seated_once(monkeypatch):
     assert {t.column("train_tokens")[0].as_py() for t in scored} == {6 * 31}
 
 
+def test_a_shard_counts_the_pairs_of_all_its_packs():
+    texts = [text_of(k % 5, 40) for k in range(9)] + ["", "again again again"]
+    want, packed = Counter(), []
+    for low in (0, 4, 8):  # a pack each
+        part = texts[low : low + 4]
+        made = {"key": pa.array(range(low, low + len(part)), pa.int64()), "copy": pa.array([0] * len(part), pa.int32()), "text": part, "held": [False] * len(part)}
+        packed += language_model._packed(np.ones(1 << language_model.SKETCH_BITS, np.int64), 1, "held")(iter(pa.table(made).to_batches()))
+        for text in part:
+            word, _ = language_model.tokens(pa.array([text]))
+            want.update(zip(word.tolist(), [int(language_model.START), *word[:-1].tolist()], strict=True))
+    shard = language_model.load(pa.Table.from_batches(packed))
+    assert dict(zip(zip(shard.word.tolist(), shard.context.tolist(), strict=True), shard.count.tolist(), strict=True)) == want
+    assert (shard.known[shard.word_at] == shard.word).all() and (shard.known[shard.context_at] == shard.context).all()
+    tokens_of = np.bincount(shard.doc, minlength=len(texts))[np.argsort(shard.keys)]
+    assert tokens_of.tolist() == [len(t.split()) + 1 for t in texts]
+
+
 def test_near_copies_meet_in_few_lists_at_first(spark, monkeypatch):
     base = text_of(31, 200).split()
     texts = [" ".join([*base[: 5 * k + 20], f"changed{k}", *base[5 * k + 21 :]]) for k in range(30)]
